@@ -41,9 +41,16 @@ def utc_day(us: Column) -> Column:
     return F.date_from_unix_date(slot_of(us, DAY_US).cast("int"))
 
 
-def utc_month(us: Column) -> Column:
-    """First day of the UTC month."""
-    return F.trunc(utc_day(us), "month")
+def day_of(df: DataFrame, name: str) -> Column:
+    """UTC day of a timestamp column."""
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return df[name].cast("date")
+    return utc_day(epoch_micros(df, name))
+
+
+def month_of(df: DataFrame, name: str) -> Column:
+    """First day of the UTC month of a timestamp column."""
+    return F.trunc(day_of(df, name), "month")
 
 
 def utc_hour(us: Column) -> Column:

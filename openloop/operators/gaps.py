@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from openloop.functions.clock import MINUTE_US, slot_of
 
 
+def gaps_of_small(events: DataFrame, key: str, us: str) -> DataFrame:
+    """Gaps between neighbouring events for entities known to fit one task each."""
+    before = F.lag(us).over(Window.partitionBy(key).orderBy(us))
+    return events.select(
+        key, (F.col(us) - before).alias("gap"), F.lit(1).cast("bigint").alias("n")
+    ).filter(F.col("gap").isNotNull())
+
+
 def consecutive_gaps(events: DataFrame, key: str, us: str) -> DataFrame:
     """Gaps in microseconds between neighbouring events of each ``key``: ``(key, gap, n)``,
     where ``n`` says how often a row of gaps occurs. An entity with m events has m-1 gaps.
@@ -40,12 +48,13 @@ def consecutive_gaps(events: DataFrame, key: str, us: str) -> DataFrame:
         ).alias("g"),
     ).select(key, "g.gap", "g.n")
     edges = near.filter(F.col("earlier").isNull() | F.col("later").isNull())
+    # Reading n here keeps the columns of both branches alike, so they share one shuffle.
     across = edges.select(
         key,
         F.when(
             F.col("earlier").isNull(),
             F.col(us) - F.lag(us).over(Window.partitionBy(key).orderBy(us)),
         ).alias("gap"),
-        F.lit(1).cast("bigint").alias("n"),
+        F.least("n", F.lit(1).cast("bigint")).alias("n"),
     )
     return inside.unionByName(across).filter(F.col("gap").isNotNull() & (F.col("n") > 0))

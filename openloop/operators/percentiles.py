@@ -31,14 +31,61 @@ def exact_percentiles(
     value: str,
     shares: dict[str, tuple[int, int]],
     weight: str | None = None,
+    few_distinct: bool = False,
     chunk: int = CHUNK,
 ) -> DataFrame:
     """One row per key: each output column of ``shares`` is the percentile (numerator,
     denominator) of BIGINT column ``value``, interpolated between neighbouring ranks and
     rounded half to even to a whole unit. ``weight`` counts repeats of a row.
+
+    ``few_distinct`` says that the distinct values of one key are known to fit a task that
+    sorts them with spilling (tens of millions); chunks are then left out.
     """
     size = F.sum(weight) if weight else F.count(F.lit(1))
     counts = values.groupBy(*keys, value).agg(size.alias("n")).filter(F.col(value).isNotNull())
+    if few_distinct:
+        ranked = _ranked_whole(counts, keys, value)
+    else:
+        ranked = _ranked_in_chunks(counts, keys, value, shares, chunk)
+
+    ends = []
+    for name, share in shares.items():
+        low, high = _lower_rank(share, F.col("total")), _upper_rank(share, F.col("total"))
+        ends.append(F.max(F.when(_holds(low, "first", "past"), F.col(value))).alias(f"{name}_lo"))
+        ends.append(F.max(F.when(_holds(high, "first", "past"), F.col(value))).alias(f"{name}_hi"))
+    found = ranked.groupBy(*keys).agg(F.max("total").alias("total"), *ends)
+
+    def between(name: str, share: tuple[int, int]) -> Column:
+        part = F.pmod((F.col("total") - 1) * F.lit(share[0]), F.lit(share[1]))
+        step = (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * part
+        return (F.col(f"{name}_lo") + F.rint(step / F.lit(share[1])).cast("bigint")).alias(name)
+
+    return found.select(*keys, *[between(name, share) for name, share in shares.items()])
+
+
+def _holds(rank: Column, start: str, end: str) -> Column:
+    return (F.col(start) <= rank) & (rank < F.col(end))
+
+
+def _ranked_whole(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Distinct values with the half-open range of ranks [first, past) each one takes up."""
+    by_value = Window.partitionBy(*keys).orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    upto = F.sum("n").over(by_value)
+    return counts.select(
+        *keys,
+        value,
+        F.sum("n").over(Window.partitionBy(*keys)).alias("total"),
+        (upto - F.col("n")).alias("first"),
+        upto.alias("past"),
+    )
+
+
+def _ranked_in_chunks(
+    counts: DataFrame, keys: list[str], value: str, shares: dict[str, tuple[int, int]], chunk: int
+) -> DataFrame:
+    """The same, for the chunks that hold a wanted rank only."""
     counts = counts.withColumn("chunk", slot_of(F.col(value), chunk))
 
     in_order = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(
@@ -57,35 +104,16 @@ def exact_percentiles(
         )
     )
 
-    def holds(rank: Column, start: str, end: str) -> Column:
-        return (F.col(start) <= rank) & (rank < F.col(end))
-
     wanted = F.lit(False)
     for share in shares.values():
         for rank in (_lower_rank(share, F.col("total")), _upper_rank(share, F.col("total"))):
-            wanted = wanted | holds(rank, "before", "upto")
+            wanted = wanted | _holds(rank, "before", "upto")
     opened = counts.join(chunks.filter(wanted), [*keys, "chunk"])
 
     by_value = Window.partitionBy(*keys, "chunk").orderBy(value).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ranked = opened.select(
-        *keys,
-        value,
-        "total",
-        (F.col("before") + F.sum("n").over(by_value) - F.col("n")).alias("first"),
-        (F.col("before") + F.sum("n").over(by_value)).alias("past"),
+    upto = F.col("before") + F.sum("n").over(by_value)
+    return opened.select(
+        *keys, value, "total", (upto - F.col("n")).alias("first"), upto.alias("past")
     )
-    ends = []
-    for name, share in shares.items():
-        low, high = _lower_rank(share, F.col("total")), _upper_rank(share, F.col("total"))
-        ends.append(F.max(F.when(holds(low, "first", "past"), F.col(value))).alias(f"{name}_lo"))
-        ends.append(F.max(F.when(holds(high, "first", "past"), F.col(value))).alias(f"{name}_hi"))
-    found = ranked.groupBy(*keys).agg(F.max("total").alias("total"), *ends)
-
-    def between(name: str, share: tuple[int, int]) -> Column:
-        part = F.pmod((F.col("total") - 1) * F.lit(share[0]), F.lit(share[1]))
-        step = (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * part
-        return (F.col(f"{name}_lo") + F.rint(step / F.lit(share[1])).cast("bigint")).alias(name)
-
-    return found.select(*keys, *[between(name, share) for name, share in shares.items()])

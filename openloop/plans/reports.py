@@ -12,14 +12,17 @@ from openloop.functions.clock import (
     DAY_US,
     HOUR_US,
     as_interval,
+    day_of,
     epoch_micros,
+    month_of,
     utc_day,
     utc_hour,
-    utc_month,
 )
+from openloop.functions.durable import durable
 from openloop.functions.numbers import percent, ratio, severity_rank
+from openloop.functions.sizing import MOST_BROADCAST_ROWS, hinted, is_small
 from openloop.model import AuditModel
-from openloop.operators.gaps import consecutive_gaps
+from openloop.operators.gaps import consecutive_gaps, gaps_of_small
 from openloop.operators.open_loops import never_closed
 from openloop.operators.percentiles import exact_percentiles
 
@@ -32,6 +35,33 @@ def _bounded(name: str, value: int, low: int, high: int) -> int:
     return value
 
 
+# Events of one entity that one task may sort.
+MOST_EVENTS_PER_TASK = 2_000_000
+
+
+def _leading_gaps(events: DataFrame, key: str, us: str, leading: DataFrame) -> DataFrame:
+    """Gaps of the leading entities, on the plan their measured size allows.
+
+    Up to a million keys are broadcast. Beyond that nearly all of them tie at the smallest
+    count, each with at most a millionth of the events, so these may meet in a shuffle. The
+    others are fewer than the report's limit; they are broadcast, and their events kept out of
+    the shuffle. An entity goes to a single task only when the largest one is small.
+    """
+    size, least, most = leading.agg(
+        F.count(F.lit(1)), F.min("violation_count"), F.max("violation_count")
+    ).first()
+    if size <= MOST_BROADCAST_ROWS:
+        theirs = events.join(F.broadcast(leading.select(key)), key, "left_semi")
+    else:
+        top = F.broadcast(leading.filter(F.col("violation_count") > least).select(key))
+        tied = leading.filter(F.col("violation_count") == least).select(key)
+        rest = events.join(top, key, "left_anti").join(tied, key, "left_semi")
+        theirs = events.join(top, key, "left_semi").unionByName(rest)
+    if (most or 0) <= MOST_EVENTS_PER_TASK:
+        return gaps_of_small(theirs, key, us)
+    return consecutive_gaps(theirs, key, us)
+
+
 def entity_gaps(
     events: DataFrame, key: str, us: str, label: DataFrame | None = None, limit: int = 40
 ) -> DataFrame:
@@ -39,8 +69,10 @@ def entity_gaps(
     largest (ties kept), each with first and last instant and median and p90 gap.
 
     ``label`` is an optional table with one row per key; entities without a row drop out.
-    Counting folds on the map side. Gaps, the expensive part, are then taken only for entities
-    that can reach the result.
+    Counting folds on the map side. The leading entities are then stored, so their number is
+    known, and gaps, the expensive part, are taken for them alone. Distinct gaps of one entity
+    add up to at most its time span, so there are at most sqrt(2 x span) of them, 25 million
+    for a decade of microseconds.
     """
     counted = (
         events.groupBy(key)
@@ -59,14 +91,14 @@ def entity_gaps(
         .limit(limit)
         .agg(F.min("violation_count").alias("least"))
     )
-    leading = counted.filter(F.col("violation_count") >= cutoff.scalar())
-    their_events = events.select(key, us).join(leading.select(key), key, "left_semi")
+    leading = durable(counted.filter(F.col("violation_count") >= cutoff.scalar()))
     gaps = exact_percentiles(
-        consecutive_gaps(their_events, key, us),
+        _leading_gaps(events.select(key, us), key, us, leading),
         [key],
         "gap",
         {"median_gap_us": MEDIAN, "p90_gap_us": P90},
         weight="n",
+        few_distinct=True,
     )
     return leading.join(gaps, key)
 
@@ -102,39 +134,41 @@ def repeat_offenders(model: AuditModel, limit: int = 40) -> DataFrame:
     )
 
 
-def _with_department(counts: DataFrame, model: AuditModel) -> DataFrame:
-    """Adds department to per-document counts; a document carries few rows by then."""
-    owner = model.document_ref.select("document_ref_id", "data_source_id").join(
-        model.data_source.select("data_source_id", "department"), "data_source_id"
-    )
-    return counts.join(owner.select("document_ref_id", "department"), "document_ref_id")
-
+def _labelled_counts(model: AuditModel, facts: DataFrame, labels: list[str], by: list[str]):
+    """Counts of ``facts`` by department, the policy columns ``labels`` and the fact columns
+    ``by``.
 
-def monthly_counts(model: AuditModel) -> DataFrame:
-    """Findings per policy, severity, department and UTC month.
-
-    The fact table is folded to (document, policy, month) before it meets a dimension, so a
-    document with very many findings reaches the join as a handful of rows.
+    While documents are few enough to broadcast, facts meet their labels on the map side and
+    only finished counts are shuffled. Beyond that, facts are first folded to one row per
+    (document, policy, ``by``), so that a document with very many findings reaches the shuffle
+    join as a handful of rows.
     """
-    facts = model.violation
-    folded = (
-        facts.select(
-            "document_ref_id",
-            "policy_id",
-            utc_month(epoch_micros(facts, "detected_at")).alias("month"),
-        )
-        .groupBy("document_ref_id", "policy_id", "month")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    rules = model.policy.select("policy_id", "policy_code", "severity")
+    source = model.data_source.select("data_source_id", "department")
+    owner = model.document_ref.select("document_ref_id", "data_source_id")
+    owner = owner.join(source, "data_source_id").select("document_ref_id", "department")
+    rules = hinted(model.policy.select("policy_id", *labels))
+    size = F.count(F.lit(1))
+    if is_small(model.document_ref):
+        owner = F.broadcast(owner)
+    else:
+        facts = facts.groupBy("document_ref_id", "policy_id", *by).agg(size.alias("n"))
+        size = F.sum("n")
     return (
-        _with_department(folded, model)
+        facts.join(owner, "document_ref_id")
         .join(rules, "policy_id")
-        .groupBy("policy_code", "severity", "department", "month")
-        .agg(F.sum("n").alias("violations"))
+        .groupBy("department", *labels, *by)
+        .agg(size.alias("violations"))
     )
 
 
+def monthly_counts(model: AuditModel) -> DataFrame:
+    """Findings per policy, severity, department and UTC month."""
+    facts = model.violation.select(
+        "document_ref_id", "policy_id", month_of(model.violation, "detected_at").alias("month")
+    )
+    return _labelled_counts(model, facts, ["policy_code", "severity"], ["month"])
+
+
 def with_change(monthly: DataFrame) -> DataFrame:
     """Change from the previous row of the same policy and department, absolute and percent."""
     series = Window.partitionBy("policy_code", "department").orderBy("month")
@@ -157,18 +191,9 @@ def policy_trend(model: AuditModel) -> DataFrame:
 
 def top_policies(model: AuditModel, k: int = 3) -> DataFrame:
     """The policies that fire most in each department, true ties kept."""
-    folded = (
-        model.violation.groupBy("document_ref_id", "policy_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    rules = model.policy.select("policy_id", "policy_code", "title", "severity")
-    counts = (
-        _with_department(folded, model)
-        .join(rules, "policy_id")
-        .groupBy("department", "policy_code", "title", "severity")
-        .agg(F.sum("n").alias("violations"))
-        .withColumn("severity_rank", severity_rank(F.col("severity")))
-    )
+    facts = model.violation.select("document_ref_id", "policy_id")
+    counts = _labelled_counts(model, facts, ["policy_code", "title", "severity"], [])
+    counts = counts.withColumn("severity_rank", severity_rank(F.col("severity")))
     by_volume = Window.partitionBy("department").orderBy(
         F.desc("violations"), F.desc_nulls_first("severity_rank"), "policy_code"
     )
@@ -310,7 +335,7 @@ def flagged_never_actioned(model: AuditModel, days: int = 2) -> DataFrame:
 def daily_counts(model: AuditModel) -> DataFrame:
     facts = model.violation
     return (
-        facts.select(utc_day(epoch_micros(facts, "detected_at")).alias("day"))
+        facts.select(day_of(facts, "detected_at").alias("day"))
         .groupBy("day")
         .agg(F.count(F.lit(1)).alias("violations"))
     )
