@@ -190,3 +190,471 @@ FROM daily WINDOW seven AS (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT RO
 
 ORACLES["q6_daily_events"] = _running("events", "ts")
 ORACLES["q6_daily_orders"] = _running("orders", "o_orderdate")
+
+
+# Sources -------------------------------------------------------------------------------------
+
+PARTS = f"""parts AS (
+    SELECT p_partkey AS policy_id, p_brand AS policy_code, p_type AS title, {SEVERITY} AS severity,
+           TIMESTAMP '1992-01-01' + to_days(p_size * 30) AS effective_from,
+           CASE WHEN p_size > 25
+                THEN TIMESTAMP '1992-01-01' + to_days(CAST(trunc(p_retailprice) AS INTEGER) * 2)
+           END AS effective_to
+    FROM part)"""
+
+ORACLES["s1_csv_parse"] = f"""
+WITH {PARTS}
+SELECT policy_id, policy_code, title, severity, epoch_us(effective_from) AS effective_from,
+       epoch_us(effective_to) AS effective_to
+FROM parts"""
+
+ORACLES["s2_dense_keys"] = """
+SELECT row_number() OVER () AS violation_id, l_orderkey, l_linenumber, l_partkey, l_suppkey
+FROM lineitem"""
+
+FLAT = """flat AS (
+    SELECT n_name AS name, c_name AS external_document_id, o_orderstatus AS action_taken,
+           o_orderpriority AS reason, o_orderdate AS detected_at, c_acctbal, c_custkey
+    FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)"""
+
+ORACLES["s4_resolve_documents"] = f"""
+WITH {FLAT}
+SELECT name, external_document_id, action_taken, reason, detected_at,
+       CASE WHEN c_acctbal >= 0 THEN c_custkey END AS document_ref_id
+FROM flat"""
+
+ORACLES["s5_flat_documents"] = f"""
+WITH {FLAT}
+SELECT name, external_document_id, min(detected_at) AS first_seen_at FROM flat GROUP BY 1, 2"""
+
+ORACLES["s5_flat_sources"] = f"WITH {FLAT} SELECT DISTINCT name FROM flat"
+
+
+def _quoted(column: str) -> str:
+    return f"""'"' || replace({column}, '"', '""') || '"'"""
+
+
+def _instant(column: str) -> str:
+    return f"coalesce(strftime({column}, '%Y-%m-%dT%H:%M:%S.%gZ'), '')"
+
+
+ORACLES["s6_csv_lines_parts"] = f"""
+WITH {PARTS}
+SELECT policy_id,
+       {_quoted('policy_code')} || ',' || {_quoted('title')} || ',' || {_quoted('severity')}
+       || ',' || {_instant('effective_from')} || ',' || {_instant('effective_to')} AS line
+FROM parts"""
+
+ORACLES["s6_csv_lines_documents"] = f"""
+SELECT doc_id,
+       coalesce({_quoted('lang')}, '') || ',' || coalesce({_quoted('source')}, '') || ','
+       || coalesce(CAST(n_chars AS VARCHAR), '') || ',' || coalesce({_quoted('text')}, '') AS line
+FROM documents"""
+
+# Data quality --------------------------------------------------------------------------------
+
+TRADE = f"""{SOURCES}, {PARTS},
+documents_seen AS (
+    SELECT s_suppkey AS document_ref_id, s_nationkey AS data_source_id,
+           s_name AS external_document_id,
+           TIMESTAMP '1995-01-01' + to_days(s_nationkey * 30) AS first_seen_at
+    FROM supplier),
+runs AS (
+    SELECT o_orderkey AS scan_run_id, o_orderdate AS started_at,
+           CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 60 DAY END AS finished_at,
+           o_orderpriority AS agent_version,
+           CAST(floor(o_totalprice / 100000) AS INTEGER) AS documents_scanned
+    FROM orders),
+findings AS (
+    SELECT l_orderkey AS scan_run_id, l_suppkey AS document_ref_id, l_partkey AS policy_id,
+           l_returnflag AS action_taken, l_linestatus AS reason, l_shipdate AS detected_at,
+           l_linenumber AS line
+    FROM lineitem)"""
+
+_BEFORE = """FROM findings JOIN documents_seen USING (document_ref_id)
+    WHERE detected_at < first_seen_at"""
+_OUTSIDE = """FROM findings JOIN runs USING (scan_run_id)
+    WHERE detected_at < started_at OR (finished_at IS NOT NULL AND detected_at > finished_at)"""
+_OVERFULL = """FROM (SELECT scan_run_id, count(DISTINCT document_ref_id) AS documents
+                     FROM findings GROUP BY 1) JOIN runs USING (scan_run_id)
+    WHERE documents > documents_scanned"""
+
+
+def _orphan(child: str, key: str, parent: str) -> str:
+    return (
+        f"SELECT count(*) FROM {child} c LEFT JOIN {parent} p ON c.{key} = p.{key}"
+        f" WHERE p.{key} IS NULL"
+    )
+
+
+_TRADE_QUERIES = {
+    "repeat-offenders": f"""SELECT least(40, count(*)) FROM (
+        SELECT document_ref_id FROM findings GROUP BY 1 HAVING count(*) >= 2)""",
+    "policy-trend": """SELECT count(*) FROM (
+        SELECT DISTINCT policy_code, severity, department, date_trunc('month', detected_at)
+        FROM findings JOIN parts USING (policy_id) JOIN documents_seen USING (document_ref_id)
+        JOIN sources USING (data_source_id))""",
+    "top-policies-per-department": f"SELECT count(*) FROM ({ORACLES['q3_top_brands']})",
+    "scan-throughput": """SELECT count(DISTINCT extract(hour FROM started_at)) FROM runs
+        WHERE finished_at IS NOT NULL""",
+    "flagged-never-actioned": """SELECT count(*) FROM lineitem f
+        WHERE f.l_returnflag = 'R'
+          AND NOT EXISTS (SELECT 1 FROM lineitem r
+                          WHERE r.l_suppkey = f.l_suppkey AND r.l_partkey = f.l_partkey
+                            AND r.l_returnflag IN ('A', 'N') AND r.l_shipdate >= f.l_shipdate
+                            AND r.l_shipdate <= f.l_shipdate + INTERVAL 2 DAY)
+          AND f.l_shipdate <= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 2 DAY""",
+    "cumulative-load": "SELECT count(DISTINCT CAST(detected_at AS DATE)) FROM findings",
+}
+# The same expected numbers as the registered gate.
+_COUNTS = {
+    "policy": ("parts", 2000),
+    "data_source": ("sources", 25),
+    "document_ref": ("documents_seen", 100),
+    "scan_run": ("runs", 15000),
+    "violation": ("findings", 60000),
+}
+_REPORT_SIZES = {
+    "repeat-offenders": 40,
+    "policy-trend": 10000,
+    "top-policies-per-department": 15,
+    "scan-throughput": 1,
+    "flagged-never-actioned": 20000,
+    "cumulative-load": 2495,
+}
+_ACTION = "('redacted', 'flagged', 'ignored', 'escalated')"
+_GATE = [("Counts", t, n, f"SELECT count(*) FROM {v}") for t, (v, n) in _COUNTS.items()]
+_GATE += [
+    ("Distribution", f"action={a}", 20000, f"SELECT count(*) FROM findings WHERE action_taken = '{a}'")
+    for a in ("A", "N", "R")
+]
+_GATE += [
+    (
+        "Constraints",
+        "policy.severity out of set",
+        0,
+        "SELECT count(*) FROM parts WHERE severity NOT IN ('low', 'medium', 'high', 'critical')",
+    ),
+    (
+        "Constraints",
+        "data_source.env out of set",
+        0,
+        "SELECT count(*) FROM sources WHERE env NOT IN ('dev', 'staging', 'prod')",
+    ),
+    (
+        "Constraints",
+        "violation.action_taken out of set",
+        0,
+        f"SELECT count(*) FROM findings WHERE action_taken NOT IN {_ACTION}",
+    ),
+    ("Integrity", "violation->scan_run orphans", 0, _orphan("findings", "scan_run_id", "runs")),
+    (
+        "Integrity",
+        "violation->document_ref orphans",
+        0,
+        _orphan("findings", "document_ref_id", "documents_seen"),
+    ),
+    ("Integrity", "violation->policy orphans", 0, _orphan("findings", "policy_id", "parts")),
+    (
+        "Integrity",
+        "document_ref->data_source orphans",
+        0,
+        _orphan("documents_seen", "data_source_id", "sources"),
+    ),
+    (
+        "Grain",
+        "duplicate (run,doc,policy) triples",
+        0,
+        "SELECT count(*) FROM (SELECT 1 FROM findings"
+        " GROUP BY scan_run_id, document_ref_id, policy_id HAVING count(*) > 1)",
+    ),
+    ("Invariants", "violation before doc first_seen_at", 0, f"SELECT count(*) {_BEFORE}"),
+    ("Invariants", "violation outside its run window", 0, f"SELECT count(*) {_OUTSIDE}"),
+    ("Invariants", "run distinct docs > documents_scanned", 0, f"SELECT count(*) {_OVERFULL}"),
+]
+_GATE += [("Regression", s, _REPORT_SIZES[s], sql) for s, sql in _TRADE_QUERIES.items()]
+
+ORACLES["k_gate"] = (
+    f"WITH {TRADE},\nchecks AS ("
+    + "\nUNION ALL ".join(
+        f"SELECT '{category}' AS category, '{name}' AS name, CAST({expected} AS BIGINT)"
+        f" AS expected, CAST(({sql}) AS BIGINT) AS actual"
+        for category, name, expected, sql in _GATE
+    )
+    + ")\nSELECT *, expected = actual AS ok FROM checks"
+)
+
+ORACLES["k10_orphans_orders"] = """
+SELECT o_custkey, count(*) AS n FROM orders
+WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL) GROUP BY 1"""
+
+ORACLES["k10_orphans_labels"] = """
+SELECT count(DISTINCT l.doc_id) AS orphan_keys, count(*) AS orphans
+FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id WHERE d.doc_id IS NULL"""
+
+ORACLES["k17_grain_lines"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"""
+
+_FINDING = "scan_run_id, document_ref_id, policy_id, line, detected_at"
+ORACLES["k18_before_first_seen"] = f"WITH {TRADE} SELECT {_FINDING} {_BEFORE}"
+ORACLES["k19_outside_run"] = f"WITH {TRADE} SELECT {_FINDING} {_OUTSIDE}"
+ORACLES["k20_overfull_runs"] = (
+    f"WITH {TRADE} SELECT scan_run_id, documents, documents_scanned {_OVERFULL}"
+)
+ORACLES["k27_outside_policy_window"] = f"""
+WITH {TRADE}
+SELECT policy_id, count(*) AS findings FROM findings JOIN parts USING (policy_id)
+WHERE NOT (effective_from <= detected_at AND (effective_to IS NULL OR detected_at < effective_to))
+GROUP BY 1"""
+
+ORACLES["k28_rule_counts"] = f"""
+WITH {TRADE},
+found AS (
+    SELECT 'policy' AS table_name, 'severity in set' AS rule, count(*) AS failures FROM parts
+    WHERE severity NOT IN ('low', 'medium', 'high', 'critical')
+    UNION ALL SELECT 'policy', 'window is not empty', count(*) FROM parts
+    WHERE effective_to <= effective_from
+    UNION ALL SELECT 'policy', '(policy_code) is not unique', count(*) FROM (
+        SELECT 1 FROM parts GROUP BY policy_code HAVING count(*) > 1)
+    UNION ALL SELECT 'data_source', 'env in set', count(*) FROM sources
+    WHERE env NOT IN ('dev', 'staging', 'prod')
+    UNION ALL SELECT 'data_source', '(name) is not unique', count(*) FROM (
+        SELECT 1 FROM sources GROUP BY name HAVING count(*) > 1)
+    UNION ALL SELECT 'document_ref', '(data_source_id, external_document_id) is not unique', count(*)
+    FROM (SELECT 1 FROM documents_seen GROUP BY data_source_id, external_document_id
+          HAVING count(*) > 1)
+    UNION ALL SELECT 'scan_run', 'duration is not negative', count(*) FROM runs
+    WHERE finished_at < started_at
+    UNION ALL SELECT 'scan_run', 'documents_scanned is not negative', count(*) FROM runs
+    WHERE documents_scanned < 0
+    UNION ALL SELECT 'violation', 'action_taken in set', count(*) FROM findings
+    WHERE action_taken NOT IN {_ACTION}
+    UNION ALL
+    SELECT 'violation', '(scan_run_id, document_ref_id, policy_id) is not unique', count(*) FROM (
+        SELECT 1 FROM findings GROUP BY scan_run_id, document_ref_id, policy_id
+        HAVING count(*) > 1))
+SELECT * FROM found WHERE failures > 0"""
+
+ORACLES["k28_quarantine"] = f"""
+WITH {SOURCES}
+SELECT *, 'env in set' AS broken FROM sources WHERE env NOT IN ('dev', 'staging', 'prod')"""
+
+ORACLES["k31_readiness"] = f"""
+WITH {TRADE},
+n AS (SELECT (SELECT count(*) FROM parts) AS policy, (SELECT count(*) FROM sources) AS data_source,
+             (SELECT count(*) FROM documents_seen) AS document_ref,
+             (SELECT count(*) FROM runs) AS scan_run, (SELECT count(*) FROM findings) AS violation)
+SELECT CASE WHEN policy = 2000 AND data_source = 25 AND document_ref = 100 AND scan_run = 15000
+                 AND violation = 60000 THEN 'ready' ELSE 'degraded' END AS status, *
+FROM n"""
+
+ORACLES["a14_documents_with_findings"] = """
+SELECT (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS with_findings,
+       (SELECT count(*) FROM supplier) AS documents"""
+
+# Maintenance ---------------------------------------------------------------------------------
+
+ORACLES["m1_retract_runs"] = """
+SELECT l_suppkey AS document_ref_id, count(*) AS n FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey
+                  AND o_orderpriority = '1-URGENT')
+GROUP BY 1
+UNION ALL
+SELECT -1, count(*) FROM orders WHERE o_orderpriority <> '1-URGENT'"""
+
+ORACLES["m2_still_referenced"] = """
+SELECT p_partkey AS policy_id, count(*) AS uses
+FROM part JOIN lineitem ON l_partkey = p_partkey WHERE p_size = 50 GROUP BY 1"""
+
+ORACLES["m3_supersede_policy"] = f"""
+WITH {PARTS}, chosen AS (SELECT min(policy_id) AS id FROM parts WHERE effective_to IS NULL)
+SELECT policy_id, 'P' || policy_id AS policy_code, title, severity, effective_from,
+       CASE WHEN policy_id = chosen.id THEN TIMESTAMP '1998-01-01' ELSE effective_to END
+           AS effective_to
+FROM parts, chosen
+UNION ALL
+SELECT max(policy_id) + 1, 'P-NEW', 'SUCCESSOR', 'high', TIMESTAMP '1998-01-01', NULL FROM parts"""
+
+ORACLES["m4_first_per_grain"] = """
+SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS rn
+    FROM lineitem)
+WHERE rn = 1"""
+
+# Request log ---------------------------------------------------------------------------------
+
+LOG = """log AS (
+    SELECT '/' || event_type || '?user=' || user_id AS endpoint, '/' || event_type AS route,
+           CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
+           CAST(floor(value * 10) AS BIGINT) AS latency_ms, CAST(ts AS DATE) AS day
+    FROM events)"""
+
+ORACLES["l1_requests_by_status"] = f"""
+WITH {LOG} SELECT route, status, count(*) AS requests FROM log GROUP BY 1, 2"""
+
+ORACLES["l2_latency_histogram"] = f"""
+WITH {LOG},
+bounds AS (SELECT * FROM (VALUES
+    ('0.005', 0.005), ('0.025', 0.025), ('0.1', 0.1), ('0.25', 0.25), ('0.5', 0.5), ('1.0', 1.0),
+    ('2.5', 2.5), ('5.0', 5.0), ('10.0', 10.0), ('+Inf', CAST('Infinity' AS DOUBLE))) b(le, top)),
+totals AS (SELECT route, status, count(*) AS requests, CAST(sum(latency_ms) AS BIGINT) AS total_ms
+           FROM log GROUP BY 1, 2)
+SELECT t.route, t.status, le, requests, total_ms,
+       (SELECT count(*) FROM log l WHERE l.route = t.route AND l.status = t.status
+        AND l.latency_ms / 1000.0 <= top) AS within
+FROM totals t, bounds"""
+
+
+def _summary(by: str) -> str:
+    part = f"PARTITION BY {by}" if by else ""
+    columns = f"{by}, " if by else ""
+    group = f"GROUP BY {by}" if by else ""
+    rank = "least(n_ok - 1, CAST(floor(CAST({} AS DOUBLE) * n_ok) AS BIGINT)) + 1"
+    return f"""
+WITH {LOG},
+ranked AS (
+    SELECT *, CASE WHEN status = 200 THEN row_number() OVER (
+               {f'PARTITION BY {by}, status' if by else 'PARTITION BY status'}
+               ORDER BY latency_ms) END AS rn,
+           count(*) FILTER (WHERE status = 200) OVER ({part}) AS n_ok
+    FROM log)
+SELECT {columns}count(*) AS requests, count(*) FILTER (WHERE status = 200) AS ok,
+       count(*) FILTER (WHERE status <> 200) AS non_200,
+       coalesce(max(CASE WHEN rn = {rank.format('0.5')} THEN latency_ms END), 0) AS p50_ms,
+       coalesce(max(CASE WHEN rn = {rank.format('0.95')} THEN latency_ms END), 0) AS p95_ms,
+       max(latency_ms) FILTER (WHERE status = 200) AS max_ms
+FROM ranked {group}"""
+
+
+ORACLES["l3_load_summary"] = _summary("")
+ORACLES["l3_load_summary_by_route"] = _summary("day, route")
+ORACLES["l5_outages"] = f"""
+SELECT * FROM ({_summary('day, endpoint')}) WHERE ok = 0"""
+
+ORACLES["l4_redact"] = """
+SELECT event_id,
+       '{"req":{"headers":{"accept":"' || event_type || '"},"user":' || user_id
+       || '},"db":{"name":' || user_id || '}}' AS record
+FROM events"""
+
+# Lookups and named extensions ----------------------------------------------------------------
+
+ORACLES["p11_policies_in_force"] = f"""
+WITH {PARTS}
+SELECT * FROM parts WHERE effective_from <= TIMESTAMP '1995-11-12'
+  AND (effective_to IS NULL OR TIMESTAMP '1995-11-12' < effective_to)"""
+
+ORACLES["p11_policies_by_month"] = f"""
+WITH {PARTS},
+months AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '1998-12-01',
+                                              INTERVAL 1 MONTH)) AS DATE) AS month)
+SELECT month, severity, count(*) AS policies
+FROM months JOIN parts ON effective_from <= month AND (effective_to IS NULL OR month < effective_to)
+GROUP BY 1, 2"""
+
+ORACLES["j9_eligible_runs"] = f"""
+WITH {EVENT_RUNS}
+SELECT event_id, ts AS flagged_at,
+       (SELECT count(*) FROM runs r WHERE r.started_at > f.ts
+        AND r.started_at <= f.ts + INTERVAL 2 DAY) AS eligible
+FROM events f WHERE event_type = 'error'"""
+
+ORACLES["e1_daily_orders_spine"] = f"""
+WITH counted AS (
+    SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1),
+days AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM counted),
+                                            (SELECT max(day) FROM counted), INTERVAL 1 DAY))
+                     AS DATE) AS day),
+daily AS (SELECT day, coalesce(n, 0) AS violations FROM days LEFT JOIN counted USING (day))
+SELECT day, violations,
+       CAST(sum(violations) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS cumulative_violations,
+       {half_up('CAST(sum(violations) OVER seven AS BIGINT)', 'count(*) OVER seven')}
+           AS trailing_7d_avg
+FROM daily WINDOW seven AS (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+
+ORACLES["e1_monthly_trend_spine"] = f"""
+WITH {SOURCES},
+counted AS (
+    SELECT p_type AS policy_code, {SEVERITY} AS severity, department,
+           CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS n
+    FROM lineitem
+    JOIN part ON p_partkey = l_partkey
+    JOIN supplier ON s_suppkey = l_suppkey
+    JOIN sources ON data_source_id = s_nationkey
+    GROUP BY ALL),
+months AS (SELECT CAST(unnest(generate_series((SELECT min(month) FROM counted),
+                                              (SELECT max(month) FROM counted), INTERVAL 1 MONTH))
+                       AS DATE) AS month),
+series AS (SELECT DISTINCT policy_code, severity, department FROM counted),
+monthly AS (
+    SELECT policy_code, severity, department, month, coalesce(n, 0) AS violations
+    FROM series CROSS JOIN months
+    LEFT JOIN counted USING (policy_code, severity, department, month)),
+moved AS (
+    SELECT *, lag(violations) OVER (PARTITION BY policy_code, department ORDER BY month) AS before
+    FROM monthly)
+SELECT policy_code, severity, department, month, violations,
+       violations - before AS mom_delta,
+       {half_up('100 * (violations - before)', 'nullif(before, 0)')} AS mom_pct
+FROM moved"""
+
+ORACLES["e2_documents_by_month"] = """
+WITH seen AS (SELECT o_custkey, min(o_orderdate) AS ts FROM orders GROUP BY 1),
+placed AS (
+    SELECT CAST(CASE WHEN date_trunc('month', ts) = ts THEN ts
+                ELSE date_trunc('month', ts) + INTERVAL 1 MONTH END AS DATE) AS month FROM seen),
+months AS (SELECT CAST(unnest(generate_series((SELECT min(month) FROM placed),
+                                              (SELECT max(month) FROM placed), INTERVAL 1 MONTH))
+                       AS DATE) AS month)
+SELECT month, (SELECT count(*) FROM seen WHERE seen.ts <= months.month) AS documents FROM months"""
+
+ORACLES["e3_hit_rate_by_version"] = f"""
+WITH {TRADE},
+per_run AS (SELECT scan_run_id, count(*) AS n FROM findings GROUP BY 1),
+totals AS (
+    SELECT agent_version, count(*) AS runs, CAST(coalesce(sum(n), 0) AS BIGINT) AS findings,
+           CAST(sum(documents_scanned) AS BIGINT) AS documents_scanned
+    FROM runs LEFT JOIN per_run USING (scan_run_id) GROUP BY 1)
+SELECT *, {half_up('100 * findings', 'documents_scanned')} AS findings_per_100 FROM totals"""
+
+ORACLES["e4_daily_rollup"] = f"""
+WITH {TRADE}
+SELECT CAST(detected_at AS DATE) AS day, policy_id, action_taken, count(*) AS violations,
+       CAST(date_trunc('month', detected_at) AS DATE) AS month
+FROM findings GROUP BY ALL"""
+
+ORACLES["e4_load_between"] = _running(
+    "(SELECT l_shipdate FROM lineitem WHERE CAST(l_shipdate AS DATE)"
+    " BETWEEN DATE '1996-03-10' AND DATE '1997-02-20')",
+    "l_shipdate",
+)
+
+# Streams: the rows a stream has emitted once all given events have arrived ---------------------
+
+_SLOT = 2 * 86_400_000_000
+ORACLES["t1_live_unresolved"] = f"""
+WITH newest AS (SELECT max(ts) AS ts FROM events)
+SELECT f.event_id, f.user_id, f.ts AS flagged_at
+FROM events f, newest
+WHERE f.event_type = 'error'
+  AND NOT EXISTS (SELECT 1 FROM events r
+                  WHERE r.user_id = f.user_id AND r.event_type = 'purchase'
+                    AND r.ts >= f.ts AND r.ts <= f.ts + INTERVAL 2 DAY)
+  AND (epoch_us(f.ts) // {_SLOT} + 1) * {_SLOT} <= epoch_us(newest.ts) - {_SLOT} - 3600000000"""
+
+ORACLES["t2_live_daily_counts"] = """
+SELECT CAST(ts AS DATE) AS day, count(*) AS violations FROM events GROUP BY 1
+HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
+
+ORACLES["t3_live_rule_counts"] = """
+SELECT 'action_taken in set' AS rule, count(*) AS failures FROM events
+WHERE event_type NOT IN ('error', 'purchase')
+UNION ALL
+SELECT 'reason is null', count(*) FROM events WHERE event_type = 'view'
+UNION ALL
+SELECT '(scan_run_id, document_ref_id, policy_id) is not unique', count(*) FROM (
+    SELECT 1 FROM events GROUP BY CAST(ts AS DATE), user_id, event_type HAVING count(*) > 1)"""
+
+ORACLES["t4_live_first_arrivals"] = "SELECT DISTINCT user_id, event_type FROM events"

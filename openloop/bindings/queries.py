@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openloop.bindings import star
-from openloop.functions.clock import DAY_US, HOUR_US, epoch_micros, utc_day
+from openloop.functions.clock import DAY_US, HOUR_US, day_of, epoch_micros, month_of, utc_day
+from openloop.functions.durable import shared_folder
 from openloop.functions.numbers import ratio
-from openloop.plans import reports
+from openloop.operators.calendar import calendar_spine, documents_in_existence
+from openloop.operators.validity import eligible_runs, policies_by_month, policies_in_force
+from openloop.plans import maintenance, quality, reports, rollups, telemetry
+from openloop.sources import interchange, records
+from openloop.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +109,412 @@ def q6_daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q6_daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.REPORTS["cumulative-load"].run(star.customer_model(spark, sf_dir))
+
+
+# Sources -------------------------------------------------------------------------------------
+
+
+@query
+def s1_csv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written as interchange lines and parsed again by the declared types."""
+    rules = star.parts(spark, sf_dir)
+    columns = ["policy_id", "policy_code", "title", "severity", "effective_from", "effective_to"]
+    lines = rules.select(interchange.csv_line(rules, columns).alias("line"))
+    declared = (
+        "policy_id bigint, policy_code string, title string, severity string,"
+        " effective_from timestamp, effective_to timestamp"
+    )
+    dialect = {**interchange.DIALECT, "mode": "FAILFAST"}
+    parsed = lines.select(F.from_csv("line", declared, dialect).alias("r")).select("r.*")
+    return parsed.withColumns(
+        {name: epoch_micros(parsed, name) for name in ("effective_from", "effective_to")}
+    )
+
+
+@query
+def s2_dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items numbered 1..N in file order."""
+    rows = star.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+    )
+    return interchange.number_rows(rows, "violation_id")
+
+
+@query
+def s4_resolve_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order records matched by natural key with the customers in credit; others stay unknown."""
+    customer = star.table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+    documents = customer.select(
+        F.col("c_custkey").alias("document_ref_id"),
+        F.col("c_nationkey").alias("data_source_id"),
+        F.col("c_name").alias("external_document_id"),
+    )
+    flat = records.star_columns(star.flat_records(spark, sf_dir))
+    found, unknown = records.resolve_documents(flat, star.nations(spark, sf_dir), documents)
+    return found.unionByName(unknown, allowMissingColumns=True)
+
+
+@query
+def s5_flat_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.documents_in(star.flat_records(spark, sf_dir))
+
+
+@query
+def s5_flat_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.sources_in(star.flat_records(spark, sf_dir))
+
+
+@query
+def s6_csv_lines_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = star.parts(spark, sf_dir)
+    columns = ["policy_code", "title", "severity", "effective_from", "effective_to"]
+    return rules.select("policy_id", interchange.csv_line(rules, columns).alias("line"))
+
+
+@query
+def s6_csv_lines_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = star.table(spark, sf_dir, "documents")
+    columns = ["lang", "source", "n_chars", "text"]
+    return texts.select("doc_id", interchange.csv_line(texts, columns).alias("line"))
+
+
+# Data quality --------------------------------------------------------------------------------
+
+# Row and action counts of the given tables at scale 0.01.
+TRADE_COUNTS = {
+    "policy": 2000,
+    "data_source": 25,
+    "document_ref": 100,
+    "scan_run": 15000,
+    "violation": 60000,
+}
+TRADE_ACTIONS = {"A": 20000, "N": 20000, "R": 20000}
+TRADE_REPORTS = {
+    "repeat-offenders": 40,
+    "policy-trend": 10000,
+    "top-policies-per-department": 15,
+    "scan-throughput": 1,
+    "flagged-never-actioned": 20000,
+    "cumulative-load": 2495,
+}
+
+
+@query
+def k_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 26 checks on the trade tables."""
+    return quality.quality_gate(
+        star.trade_model(spark, sf_dir), TRADE_COUNTS, TRADE_ACTIONS, TRADE_REPORTS
+    )
+
+
+@query
+def k10_orphans_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of orders that never appear as users of events."""
+    users = star.table(spark, sf_dir, "events").select("user_id").distinct()
+    orders = star.table(spark, sf_dir, "orders")
+    return quality.orphans(orders, "o_custkey", users, "user_id")
+
+
+@query
+def k10_orphans_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = star.table(spark, sf_dir, "labels")
+    return quality.orphans(labels, "doc_id", star.table(spark, sf_dir, "documents")).agg(
+        F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")
+    )
+
+
+@query
+def k17_grain_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = star.table(spark, sf_dir, "lineitem")
+    return quality.duplicate_groups(lines, ("l_orderkey", "l_linenumber"))
+
+
+@query
+def k18_before_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.before_first_seen(star.trade_model(spark, sf_dir))
+    return found.select("scan_run_id", "document_ref_id", "policy_id", "line", "detected_at")
+
+
+@query
+def k19_outside_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.outside_run(star.trade_model(spark, sf_dir))
+    return found.select("scan_run_id", "document_ref_id", "policy_id", "line", "detected_at")
+
+
+@query
+def k20_overfull_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.overfull_runs(star.trade_model(spark, sf_dir))
+
+
+@query
+def k27_outside_policy_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.outside_policy_window(star.trade_model(spark, sf_dir))
+    return found.groupBy("policy_id").agg(F.count(F.lit(1)).alias("findings"))
+
+
+@query
+def k28_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = star.trade_model(spark, sf_dir).tables()
+    parts = [
+        quality.rule_counts(df, name).withColumn("table_name", F.lit(name))
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def k28_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations set aside by the rules of a data source, with the rules they break."""
+    _, bad = quality.split_valid(star.nations(spark, sf_dir), "data_source")
+    return bad.withColumn("broken", F.array_join("broken", "; "))
+
+
+@query
+def k31_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.readiness(star.trade_model(spark, sf_dir), TRADE_COUNTS)
+
+
+@query
+def a14_documents_with_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.documents_with_findings(star.trade_model(spark, sf_dir))
+
+
+# Maintenance ---------------------------------------------------------------------------------
+
+
+@query
+def m1_retract_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings left per supplier after all urgent orders are retracted."""
+    model = star.trade_model(spark, sf_dir)
+    ids = model.scan_run.filter(F.col("agent_version") == "1-URGENT")
+    findings, runs = maintenance.retract_runs(model.violation, model.scan_run, ids)
+    left = findings.groupBy("document_ref_id").agg(F.count(F.lit(1)).alias("n"))
+    return left.unionByName(
+        runs.agg(F.lit(-1).cast("bigint").alias("document_ref_id"), F.count(F.lit(1)).alias("n"))
+    )
+
+
+@query
+def m2_still_referenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of size 50 that line items still refer to, so they may not be deleted."""
+    ids = star.table(spark, sf_dir, "part").filter(F.col("p_size") == 50)
+    return maintenance.still_referenced(
+        ids.select(F.col("p_partkey").alias("policy_id")),
+        star.line_findings(spark, sf_dir),
+        "policy_id",
+    )
+
+
+@query
+def m3_supersede_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first part without an end is closed on 1998-01-01 and followed by a new one."""
+    policy = star.parts(spark, sf_dir).withColumn(
+        "policy_code", F.concat(F.lit("P"), F.col("policy_id").cast("string"))
+    )
+    first = policy.filter(F.col("effective_to").isNull()).agg(F.min("policy_id")).first()[0]
+    successor = spark.range(1).select(
+        F.lit("P-NEW").alias("policy_code"),
+        F.lit("SUCCESSOR").alias("title"),
+        F.lit("high").alias("severity"),
+    )
+    at = F.expr("timestamp_ntz'1998-01-01 00:00:00'")
+    return maintenance.supersede_policy(policy, f"P{first}", at, successor)
+
+
+@query
+def m4_first_per_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = star.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"
+    )
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
+    return maintenance.first_per_grain(lines, ["l_orderkey", "l_linenumber"], order)
+
+
+# Request log ---------------------------------------------------------------------------------
+
+
+@query
+def l1_requests_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry.requests_by_status(star.request_log(spark, sf_dir))
+
+
+@query
+def l2_latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry.latency_histogram(star.request_log(spark, sf_dir))
+
+
+@query
+def l3_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry.load_summary(star.request_log(spark, sf_dir))
+
+
+@query
+def l3_load_summary_by_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = star.request_log(spark, sf_dir)
+    return telemetry.load_summary(log.withColumn("day", day_of(log, "ts")), ["day", "route"])
+
+
+@query
+def l4_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event records with credentials in nested fields, after redaction, as JSON."""
+    events = star.table(spark, sf_dir, "events")
+    log = events.select(
+        "event_id",
+        F.struct(
+            F.struct(
+                F.col("props").alias("authorization"),
+                F.col("props").alias("cookie"),
+                F.col("event_type").alias("accept"),
+            ).alias("headers"),
+            F.col("user_id").alias("user"),
+        ).alias("req"),
+        F.struct(F.col("user_id").alias("name"), F.col("props").alias("password")).alias("db"),
+        F.col("props").alias("password"),
+    )
+    kept = telemetry.redact(log)
+    inside = [c for c in kept.columns if c != "event_id"]
+    return kept.select("event_id", F.to_json(F.struct(*inside)).alias("record"))
+
+
+@query
+def l5_outages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of an endpoint without one successful request."""
+    log = star.request_log(spark, sf_dir)
+    return telemetry.outages(log.withColumn("day", day_of(log, "ts")), ["day", "endpoint"])
+
+
+# Lookups and named extensions ----------------------------------------------------------------
+
+
+@query
+def p11_policies_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.expr("timestamp_ntz'1995-11-12 00:00:00'")
+    return policies_in_force(star.parts(spark, sf_dir), at)
+
+
+@query
+def p11_policies_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, last = F.lit("1994-01-01").cast("date"), F.lit("1998-12-01").cast("date")
+    listed = policies_by_month(star.parts(spark, sf_dir), first, last)
+    return listed.groupBy("month", "severity").agg(F.count(F.lit(1)).alias("policies"))
+
+
+@query
+def j9_eligible_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors with the number of user-day runs that start within the next two days."""
+    model = star.event_model(spark, sf_dir)
+    flags = model.violation.filter(F.col("action_taken") == "error").select(
+        F.col("violation_id").alias("event_id"), F.col("detected_at").alias("flagged_at")
+    )
+    return eligible_runs(flags, model.scan_run, 2)
+
+
+@query
+def e1_daily_orders_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = reports.daily_counts(star.customer_model(spark, sf_dir))
+    return reports.with_running_load(calendar_spine(daily, "day", "violations", "day"))
+
+
+@query
+def e1_monthly_trend_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    monthly = reports.monthly_counts(star.trade_model(spark, sf_dir, code="p_type"))
+    keys = ["policy_code", "severity", "department"]
+    return reports.with_change(calendar_spine(monthly, "month", "violations", "month", keys))
+
+
+@query
+def e2_documents_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that had ordered at or before each month start."""
+    orders = star.table(spark, sf_dir, "orders")
+    first = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("seen"))
+    start = month_of(first, "seen")
+    whole = start.cast("timestamp_ntz") == F.col("seen")
+    month = F.when(whole, start).otherwise(F.add_months(start, 1))
+    return documents_in_existence(first.select(month.alias("month")))
+
+
+@query
+def e3_hit_rate_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.hit_rate(star.trade_model(spark, sf_dir))
+
+
+@query
+def e4_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.daily_rollup(star.trade_model(spark, sf_dir))
+
+
+@query
+def e4_load_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, last = F.lit("1996-03-10").cast("date"), F.lit("1997-02-20").cast("date")
+    return rollups.load_between(star.trade_model(spark, sf_dir), first, last)
+
+
+# Streams -------------------------------------------------------------------------------------
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arriving = (
+        spark.readStream.schema(star.GIVEN["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    )
+    return live.with_event_time(arriving, "ts")
+
+
+def _drain(stream: DataFrame) -> DataFrame:
+    place = f"{shared_folder(stream.sparkSession)}/live-{uuid.uuid4().hex}"
+    return live.run_to_end(stream, f"{place}/rows", f"{place}/progress")
+
+
+@query
+def t1_live_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors without a purchase in two days, emitted by a stream as their slots become final."""
+    stream = live.never_closed_live(
+        _event_stream(spark, sf_dir),
+        ["user_id"],
+        F.col("event_type") == "error",
+        F.col("event_type") == "purchase",
+        days=2,
+        lateness_hours=1,
+    )
+    return _drain(stream.select("event_id", "user_id", F.col("ts").alias("flagged_at")))
+
+
+@query
+def t2_live_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drain(live.daily_counts_live(_event_stream(spark, sf_dir), lateness_hours=1))
+
+
+@query
+def t3_live_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row rules of findings checked on each micro-batch of events, summed over the batches."""
+    arriving = _event_stream(spark, sf_dir)
+    findings = arriving.select(
+        F.col("event_id").alias("violation_id"),
+        F.col("user_id").alias("document_ref_id"),
+        day_of(arriving, "ts").alias("scan_run_id"),
+        F.col("event_type").alias("policy_id"),
+        F.when(F.col("event_type") == "error", "flagged")
+        .when(F.col("event_type") == "purchase", "redacted")
+        .otherwise(F.col("event_type"))
+        .alias("action_taken"),
+        F.nullif(F.col("event_type"), F.lit("view")).alias("reason"),
+    )
+    place = f"{shared_folder(spark)}/live-{uuid.uuid4().hex}"
+    live.check_each_batch(
+        findings, "violation", f"{place}/rows", f"{place}/progress"
+    ).awaitTermination()
+    stored = spark.read.schema("rule string, failures bigint, batch bigint").parquet(f"{place}/rows")
+    return stored.groupBy("rule").agg(F.sum("failures").alias("failures"))
+
+
+@query
+def t4_live_first_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grain = ("user_id", "event_type")
+    stream = live.first_arrivals(_event_stream(spark, sf_dir), grain, within_hours=24 * 40)
+    return _drain(stream.select(*grain))

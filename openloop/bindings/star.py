@@ -6,7 +6,7 @@ reach the Parquet scans below it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openloop.functions.clock import epoch_micros, utc_day
@@ -194,3 +194,19 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") != "error", F.col("user_id")).alias("rows"),
         F.col("ts"),
     )
+
+
+def flat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat audit records = orders: index = nation, document = customer."""
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
+    named = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+        "c_custkey", "c_name", "n_name"
+    )
+    return orders.join(named, orders.o_custkey == named.c_custkey).select(
+        F.col("n_name").alias("target_index"),
+        F.col("c_name").alias("target_document_id"),
+        F.col("o_orderstatus").alias("action_taken"),
+        F.col("o_orderpriority").alias("reason"),
+        F.col("o_orderdate").alias("timestamp"),
+    )
