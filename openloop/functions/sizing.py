@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from openloop.functions.durable import durable
+from openloop.functions.durable import staged
 
 # A narrow row (a key and a short label) of this many stays near 100 MB when broadcast.
 MOST_BROADCAST_ROWS = 1_000_000
@@ -28,10 +28,10 @@ def keep_matching(facts: DataFrame, keys: DataFrame, how: str = "left_semi") ->
     ``keys`` is stored first, so its size is known before the plan is made: a small set is
     broadcast and ``facts`` stay where they are.
     """
-    found = durable(keys.distinct())
+    found = staged(keys.distinct())
     return facts.join(hinted(found), found.columns, how).select(*facts.columns)
 
 
 def attach(facts: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Inner join of ``facts`` with stored ``parents``, broadcast when measured small."""
-    return facts.join(hinted(durable(parents)), key)
+    return facts.join(hinted(staged(parents)), key)

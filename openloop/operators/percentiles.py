@@ -86,7 +86,11 @@ def _ranked_in_chunks(
     counts: DataFrame, keys: list[str], value: str, shares: dict[str, tuple[int, int]], chunk: int
 ) -> DataFrame:
     """The same, for the chunks that hold a wanted rank only."""
+    # The join below would drop empty keys on one side only; dropping them here lets both uses
+    # of the counts share one shuffle.
     counts = counts.withColumn("chunk", slot_of(F.col(value), chunk))
+    for name in (*keys, "chunk"):
+        counts = counts.filter(F.col(name).isNotNull())
 
     in_order = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

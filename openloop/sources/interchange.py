@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from openloop.functions.clock import epoch_micros, iso_utc
-from openloop.functions.durable import durable
+from openloop.functions.durable import staged
 from openloop.functions.sizing import hinted
 from openloop.schemas import SURROGATE, TABLES, interchange_columns
 
@@ -47,7 +47,7 @@ def number_rows(rows: DataFrame, key: str, kind: T.DataType = T.LongType()) -> D
     places. Each block of a file is counted, the running total over blocks (one row per block)
     gives its offset, and the offset goes back to the rows.
     """
-    placed = durable(rows.withColumn("place", F.monotonically_increasing_id()))
+    placed = staged(rows.withColumn("place", F.monotonically_increasing_id()))
     blocks = placed.groupBy("file_path", "block_start").agg(
         F.count(F.lit(1)).alias("n"), F.min("place").alias("first_place")
     )
