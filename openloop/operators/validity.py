@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from openloop.functions.clock import DAY_US, MINUTE_US, epoch_micros, slot_of
+from openloop.functions.clock import (
+    DAY_US,
+    MINUTE_US,
+    day_of,
+    day_start_micros,
+    epoch_micros,
+    month_of,
+    slot_of,
+)
 
 
 def in_force(at: Column, start: Column, end: Column) -> Column:
@@ -21,12 +29,18 @@ def policies_in_force(policy: DataFrame, as_of: Column) -> DataFrame:
 def policies_by_month(policy: DataFrame, first: Column, last: Column) -> DataFrame:
     """(policy columns, month) for every month start from ``first`` to ``last`` at which a
     policy is in force. Each policy lists its own months, so no join is needed."""
-    start = F.greatest(F.date_trunc("month", "effective_from").cast("date"), first)
-    stop = F.least(F.coalesce(F.col("effective_to").cast("date"), last), last)
+    start = F.greatest(month_of(policy, "effective_from"), first)
+    stop = F.least(F.coalesce(day_of(policy, "effective_to"), last), last)
     months = F.when(start <= stop, F.sequence(start, stop, F.expr("interval 1 month")))
-    listed = policy.withColumn("month", F.explode(months))
-    at = F.col("month").cast(policy.schema["effective_from"].dataType)
-    return listed.filter(in_force(at, F.col("effective_from"), F.col("effective_to")))
+    listed = policy.withColumns(
+        {
+            "month": F.explode(months),
+            "from_us": epoch_micros(policy, "effective_from"),
+            "to_us": epoch_micros(policy, "effective_to"),
+        }
+    )
+    at = day_start_micros(F.col("month"))
+    return listed.filter(in_force(at, F.col("from_us"), F.col("to_us"))).drop("from_us", "to_us")
 
 
 def _running_runs(marks: DataFrame) -> DataFrame:

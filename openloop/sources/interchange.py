@@ -11,9 +11,16 @@ from openloop.functions.durable import staged
 from openloop.functions.sizing import hinted
 from openloop.schemas import SURROGATE, TABLES, interchange_columns
 
-# CSV dialect of the interchange files. Quotes are doubled inside quoted text; an
-# empty field is NULL and "" is the empty text.
-DIALECT = {"header": "true", "quote": '"', "escape": '"', "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"}
+# CSV dialect of the interchange files. Quotes are doubled inside quoted text. An
+# empty field is NULL and "" is the empty text: a NULL mark other than "" keeps the two apart.
+DIALECT = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\u0001",
+    "emptyValue": "",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+}
 
 
 def read_table(spark: SparkSession, path: str, table: str, multiline: bool = False) -> DataFrame:
