@@ -101,6 +101,16 @@ SELECT policy_code, severity, department, month, violations,
        {half_up('100 * (violations - before)', 'before')} AS mom_pct
 FROM moved"""
 
+ORACLES["e4_trend_between"] = ORACLES["q2_type_trend"].replace(
+    "    GROUP BY ALL",
+    "    WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-03-10' AND DATE '1997-02-20'\n"
+    "    GROUP BY ALL",
+)
+
+ORACLES["f12_external_ids"] = """
+SELECT c_custkey, n_name || ':' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS external_id
+FROM customer JOIN nation ON n_nationkey = c_nationkey"""
+
 ORACLES["q3_top_brands"] = f"""
 WITH {SOURCES},
 counts AS (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -450,8 +451,26 @@ def e4_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def e4_load_between(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, last = F.lit("1996-03-10").cast("date"), F.lit("1997-02-20").cast("date")
-    return rollups.load_between(star.trade_model(spark, sf_dir), first, last)
+    model = star.trade_model(spark, sf_dir)
+    chosen = model.between(dt.date(1996, 3, 10), dt.date(1997, 2, 20))
+    return reports.REPORTS["cumulative-load"].run(chosen)
+
+
+@query
+def e4_trend_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = star.trade_model(spark, sf_dir, code="p_type")
+    chosen = model.between(dt.date(1996, 3, 10), dt.date(1997, 2, 20))
+    return reports.REPORTS["policy-trend"].run(chosen)
+
+
+@query
+def f12_external_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document ids in their composed form: source name and six-digit number."""
+    customer, nation = star.table(spark, sf_dir, "customer"), star.table(spark, sf_dir, "nation")
+    joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    return joined.select(
+        "c_custkey", records.external_id(F.col("n_name"), F.col("c_custkey")).alias("external_id")
+    )
 
 
 # Streams -------------------------------------------------------------------------------------

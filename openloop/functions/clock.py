@@ -7,6 +7,8 @@ arithmetic in UTC and never depend on the session time zone, whether a table sto
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,18 @@ def month_of(df: DataFrame, name: str) -> Column:
     return F.trunc(day_of(df, name), "month")
 
 
+def within_days(df: DataFrame, name: str, first: dt.date, last: dt.date) -> Column:
+    """Whether a timestamp column falls on the UTC days ``first`` to ``last``. A plain range of
+    the stored column, so that a Parquet scan can skip row groups outside it."""
+    after = last + dt.timedelta(days=1)
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        low, high = (F.expr(f"timestamp_ntz'{day} 00:00:00'") for day in (first, after))
+    else:
+        epoch = dt.date(1970, 1, 1)
+        low, high = (F.timestamp_micros(F.lit((day - epoch).days * DAY_US)) for day in (first, after))
+    return (df[name] >= low) & (df[name] < high)
+
+
 def utc_hour(us: Column) -> Column:
     """Hour of the day in UTC, 0..23."""
     return whole_div(F.pmod(us, F.lit(DAY_US).cast("bigint")), HOUR_US).cast("int")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from openloop.functions.clock import within_days
 from openloop.schemas import CLOSING_ACTIONS, OPEN_ACTION, TABLES
 
 
@@ -37,3 +39,8 @@ class AuditModel:
     def tables(self) -> dict[str, DataFrame]:
         found = {name: getattr(self, name) for name in TABLES}
         return {name: df for name, df in found.items() if df is not None}
+
+    def between(self, first: dt.date, last: dt.date) -> "AuditModel":
+        """The same model with the findings of the UTC days ``first`` to ``last`` only."""
+        inside = within_days(self.violation, "detected_at", first, last)
+        return replace(self, violation=self.violation.filter(inside))

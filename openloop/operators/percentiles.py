@@ -32,6 +32,7 @@ def exact_percentiles(
     shares: dict[str, tuple[int, int]],
     weight: str | None = None,
     few_distinct: bool = False,
+    few_keys: bool = False,
     chunk: int = CHUNK,
 ) -> DataFrame:
     """One row per key: each output column of ``shares`` is the percentile (numerator,
@@ -39,14 +40,16 @@ def exact_percentiles(
     rounded half to even to a whole unit. ``weight`` counts repeats of a row.
 
     ``few_distinct`` says that the distinct values of one key are known to fit a task that
-    sorts them with spilling (tens of millions); chunks are then left out.
+    sorts them with spilling (tens of millions); chunks are then left out. ``few_keys`` says
+    that the keys come from a small closed set, such as hours of the day; the chunks to open,
+    two per key and share at most, are then broadcast and the counts stay where they are.
     """
     size = F.sum(weight) if weight else F.count(F.lit(1))
     counts = values.groupBy(*keys, value).agg(size.alias("n")).filter(F.col(value).isNotNull())
     if few_distinct:
         ranked = _ranked_whole(counts, keys, value)
     else:
-        ranked = _ranked_in_chunks(counts, keys, value, shares, chunk)
+        ranked = _ranked_in_chunks(counts, keys, value, shares, chunk, few_keys)
 
     ends = []
     for name, share in shares.items():
@@ -83,7 +86,12 @@ def _ranked_whole(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def _ranked_in_chunks(
-    counts: DataFrame, keys: list[str], value: str, shares: dict[str, tuple[int, int]], chunk: int
+    counts: DataFrame,
+    keys: list[str],
+    value: str,
+    shares: dict[str, tuple[int, int]],
+    chunk: int,
+    few_keys: bool,
 ) -> DataFrame:
     """The same, for the chunks that hold a wanted rank only."""
     # The join below would drop empty keys on one side only; dropping them here lets both uses
@@ -112,7 +120,8 @@ def _ranked_in_chunks(
     for share in shares.values():
         for rank in (_lower_rank(share, F.col("total")), _upper_rank(share, F.col("total"))):
             wanted = wanted | _holds(rank, "before", "upto")
-    opened = counts.join(chunks.filter(wanted), [*keys, "chunk"])
+    opening = chunks.filter(wanted)
+    opened = counts.join(F.broadcast(opening) if few_keys else opening, [*keys, "chunk"])
 
     by_value = Window.partitionBy(*keys, "chunk").orderBy(value).rowsBetween(
         Window.unboundedPreceding, Window.currentRow

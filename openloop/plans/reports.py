@@ -238,6 +238,7 @@ def scan_throughput_micros(model: AuditModel) -> DataFrame:
         ["hour_utc"],
         "took_us",
         {"median_duration_us": MEDIAN, "p95_duration_us": P95},
+        few_keys=True,
     )
     busy = F.nullif(F.col("busy_us"), F.lit(0).cast("decimal(29,0)"))
     scanned = F.col("documents_scanned").cast("decimal(19,0)") * F.lit(HOUR_US)
@@ -312,23 +313,25 @@ def flagged_never_actioned(model: AuditModel, days: int = 2) -> DataFrame:
         "document_ref_id", "data_source_id", "external_document_id"
     )
     rules = model.policy.select("policy_id", "policy_code", "severity")
-    return (
+    # Sorting samples its input first, so only what the order needs is worked out before it.
+    labelled = (
         waiting.join(document, "document_ref_id")
         .join(source, "data_source_id")
         .join(rules, "policy_id")
-        .select(
-            "department",
-            "data_source",
-            "env",
-            "policy_code",
-            "severity",
-            "external_document_id",
-            F.col("detected_at").alias("flagged_at"),
-            "reason",
-            ratio(F.col("age_us"), DAY_US, 1).alias("days_open"),
-            severity_rank(F.col("severity")).alias("severity_rank"),
-        )
-        .orderBy(F.desc_nulls_first("severity_rank"), "flagged_at")
+        .withColumn("severity_rank", severity_rank(F.col("severity")))
+        .orderBy(F.desc_nulls_first("severity_rank"), "detected_at")
+    )
+    return labelled.select(
+        "department",
+        "data_source",
+        "env",
+        "policy_code",
+        "severity",
+        "external_document_id",
+        F.col("detected_at").alias("flagged_at"),
+        "reason",
+        ratio(F.col("age_us"), DAY_US, 1).alias("days_open"),
+        "severity_rank",
     )
 
 

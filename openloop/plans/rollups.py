@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openloop.functions.clock import day_of, epoch_micros, utc_hour
 from openloop.functions.numbers import ratio
 from openloop.model import AuditModel
-from openloop.plans.reports import with_running_load
 
 
 def hit_rate(model: AuditModel, by: str = "agent_version") -> DataFrame:
@@ -55,22 +56,12 @@ def write_rollup(model: AuditModel, path: str) -> None:
     )
 
 
-def read_rollup(spark: SparkSession, path: str, first: Column, last: Column) -> DataFrame:
-    """Rollup rows of the days from ``first`` to ``last``; whole months outside are skipped."""
-    months = F.col("month").between(F.trunc(first, "month"), F.trunc(last, "month"))
-    return spark.read.parquet(path).filter(months & F.col("day").between(first, last))
-
-
-def load_between(model: AuditModel, first: Column, last: Column) -> DataFrame:
-    """The cumulative load of a range of days, straight from the facts."""
-    facts = model.violation
-    days = facts.select(day_of(facts, "detected_at").alias("day"))
-    counted = (
-        days.filter(F.col("day").between(first, last))
-        .groupBy("day")
-        .agg(F.count(F.lit(1)).alias("violations"))
+def read_rollup(spark: SparkSession, path: str, first: dt.date, last: dt.date) -> DataFrame:
+    """Rollup rows of the days ``first`` to ``last``; the files of other months are skipped."""
+    months = F.col("month").between(F.lit(first.replace(day=1)), F.lit(last.replace(day=1)))
+    return spark.read.parquet(path).filter(
+        months & F.col("day").between(F.lit(first), F.lit(last))
     )
-    return with_running_load(counted).orderBy("day")
 
 
 def documents_with_findings(model: AuditModel) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from openloop.functions.sizing import hinted
@@ -22,6 +22,13 @@ def star_columns(flat: DataFrame) -> DataFrame:
     return flat.select(*[F.col(old).alias(new) for old, new in FLAT_FIELDS.items()])
 
 
+def external_id(source: Column, number: Column) -> Column:
+    """Document id composed of its source name and a zero-padded number. A number of more than
+    six digits stays whole."""
+    digits = number.cast("string")
+    return F.concat(source, F.lit(":"), F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), "0"))
+
+
 def sources_in(flat: DataFrame) -> DataFrame:
     """Distinct data sources named by flat records."""
     return flat.select(F.col("target_index").alias("name")).distinct()

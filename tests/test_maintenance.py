@@ -1,10 +1,15 @@
 """Retraction, restricted deletes, supersession and double loads."""
 
+import dataclasses
+import datetime as dt
+
 import pytest
 from audit import at, frame, star
 from openloop.operators.validity import policies_by_month, policies_in_force
 from openloop.plans import maintenance
-from openloop.plans.rollups import daily_rollup, hit_rate, load_between, read_rollup, write_rollup
+from openloop.plans.rollups import daily_rollup, hit_rate, read_rollup, write_rollup
+from openloop.plans.reports import cumulative_load
+from openloop.session import cluster_settings
 from pyspark.sql import functions as F
 
 FINDINGS = [(1, 1, "flagged", at(0)), (2, 2, "redacted", at(1)), (1, 2, "ignored", at(40))]
@@ -101,9 +106,30 @@ def test_hit_rate_counts_clean_runs(spark):
 def test_rollup_reads_its_months_only(spark, tmp_path):
     model = star(spark, FINDINGS)
     write_rollup(model, str(tmp_path / "daily"))
-    first, last = F.lit("2025-03-02").cast("date"), F.lit("2025-03-31").cast("date")
+    first, last = dt.date(2025, 3, 2), dt.date(2025, 3, 31)
     read = read_rollup(spark, str(tmp_path / "daily"), first, last)
     assert [(r.policy_id, r.violations) for r in read.collect()] == [(2, 1)]
     assert "PartitionFilters: [isnotnull(month" in read._jdf.queryExecution().toString()
     assert daily_rollup(model).count() == 3
-    assert [r.violations for r in load_between(model, first, last).collect()] == [1]
+
+
+def test_date_range_reaches_the_scan(spark, tmp_path):
+    model = star(spark, [*FINDINGS, (1, 1, "ignored", at(2, us=-1)), (1, 1, "ignored", at(2))])
+    model.violation.write.parquet(str(tmp_path / "violation"))
+    stored = dataclasses.replace(
+        model, violation=spark.read.parquet(str(tmp_path / "violation"))
+    ).between(dt.date(2025, 3, 2), dt.date(2025, 3, 2))
+    assert sorted(r.violation_id for r in stored.violation.collect()) == [2, 4]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = stored.violation._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(detected_at" in plan and "LessThan(detected_at" in plan
+    assert cumulative_load(stored).first().violations == 2
+
+
+def test_settings_grow_with_the_input():
+    small = cluster_settings(10**9, 8)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    large = cluster_settings(100 * 10**12, 8000)
+    assert large["spark.sql.shuffle.partitions"] == "48000"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(1 << 30)
