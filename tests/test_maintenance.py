@@ -121,7 +121,7 @@ def test_date_range_reaches_the_scan(spark, tmp_path):
     ).between(dt.date(2025, 3, 2), dt.date(2025, 3, 2))
     assert sorted(r.violation_id for r in stored.violation.collect()) == [2, 4]
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
-    plan = stored.violation._jdf.queryExecution().executedPlan().toString()
+    plan = stored.violation.select("detected_at")._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(detected_at" in plan and "LessThan(detected_at" in plan
     assert cumulative_load(stored).first().violations == 2
