@@ -15,6 +15,9 @@ from openloop.functions.clock import DAY_US, HOUR_US, day_of, epoch_micros, mont
 from openloop.functions.durable import shared_folder
 from openloop.functions.numbers import ratio
 from openloop.operators.calendar import calendar_spine, documents_in_existence
+from openloop.operators.gaps import consecutive_gaps
+from openloop.operators.open_loops import never_closed
+from openloop.operators.percentiles import exact_percentiles
 from openloop.operators.validity import eligible_runs, policies_by_month, policies_in_force
 from openloop.plans import maintenance, quality, reports, rollups, telemetry
 from openloop.sources import interchange, records
@@ -112,6 +115,48 @@ def q6_daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.REPORTS["cumulative-load"].run(star.customer_model(spark, sf_dir))
 
 
+@query
+def w1_gaps_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps between shipments per return flag, each flag holding a third of all line items, on
+    the plan for oversized groups."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    events = lines.select("l_returnflag", epoch_micros(lines, "l_shipdate").alias("us"))
+    gaps = consecutive_gaps(events, "l_returnflag", "us")
+    return exact_percentiles(
+        gaps,
+        ["l_returnflag"],
+        "gap",
+        {"median_gap_us": (1, 2), "p90_gap_us": (9, 10), "longest_gap_us": (1, 1)},
+        weight="n",
+    )
+
+
+@query
+def a7_percentiles_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of price in cents per line status, each status holding half of all rows."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return exact_percentiles(
+        lines.select("l_linestatus", cents.alias("cents")),
+        ["l_linestatus"],
+        "cents",
+        {"p50": (1, 2), "p90": (9, 10), "p95": (19, 20)},
+    )
+
+
+@query
+def j5_never_closed_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returned lines with no accepted line of 50 units and the same status within a day."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    lines = lines.withColumn("us", epoch_micros(lines, "l_shipdate"))
+    openers = lines.filter(F.col("l_returnflag") == "R").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_linestatus", "us", "l_shipdate"
+    )
+    closers = lines.filter((F.col("l_returnflag") == "A") & (F.col("l_quantity") == 50))
+    keys = ["l_linestatus"]
+    return never_closed(openers, closers.select(*keys, "us"), keys, "us", DAY_US).drop("us")
+
+
 # Sources -------------------------------------------------------------------------------------
 
 

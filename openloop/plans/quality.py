@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from openloop import schemas
 from openloop.functions.clock import epoch_micros
-from openloop.functions.sizing import attach, hinted, keep_matching
+from openloop.functions.durable import staged
+from openloop.functions.sizing import attach, hinted
 from openloop.model import AuditModel
 from openloop.plans.reports import REPORTS
 
@@ -310,9 +311,12 @@ def split_valid(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     rows of a repeated unique key are set aside, since none can be told to be the right one."""
     marked = broken_rules(df, table)
     for keys in schemas.UNIQUE[table]:
-        repeated = duplicate_groups(df, keys).select(*keys)
+        repeated = staged(duplicate_groups(df, keys).select(*keys, F.lit(True).alias("again")))
         rule = F.array(F.lit(f"({', '.join(keys)}) is not unique"))
-        again = keep_matching(marked, repeated).withColumn("broken", F.concat("broken", rule))
-        marked = keep_matching(marked, repeated, "left_anti").unionByName(again)
+        marked = (
+            marked.join(hinted(repeated), list(keys), "left")
+            .withColumn("broken", F.when(F.col("again"), F.concat("broken", rule)).otherwise(F.col("broken")))
+            .select(*marked.columns)
+        )
     clean = F.size("broken") == 0
     return marked.filter(clean).drop("broken"), marked.filter(~clean)

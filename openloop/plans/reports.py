@@ -20,7 +20,7 @@ from openloop.functions.clock import (
 )
 from openloop.functions.durable import durable
 from openloop.functions.numbers import percent, ratio, severity_rank
-from openloop.functions.sizing import MOST_BROADCAST_ROWS, hinted, is_small
+from openloop.functions.sizing import MOST_BROADCAST_ROWS, is_small
 from openloop.model import AuditModel
 from openloop.operators.gaps import consecutive_gaps, gaps_of_small
 from openloop.operators.open_loops import never_closed
@@ -35,8 +35,8 @@ def _bounded(name: str, value: int, low: int, high: int) -> int:
     return value
 
 
-# Events of one entity that one task may sort.
-MOST_EVENTS_PER_TASK = 2_000_000
+# Narrow rows of one group that one task may sort.
+MOST_ROWS_PER_TASK = 2_000_000
 
 
 def _leading_gaps(events: DataFrame, key: str, us: str, leading: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def _leading_gaps(events: DataFrame, key: str, us: str, leading: DataFrame) -> D
         tied = leading.filter(F.col("violation_count") == least).select(key)
         rest = events.join(top, key, "left_anti").join(tied, key, "left_semi")
         theirs = events.join(top, key, "left_semi").unionByName(rest)
-    if (most or 0) <= MOST_EVENTS_PER_TASK:
+    if (most or 0) <= MOST_ROWS_PER_TASK:
         return gaps_of_small(theirs, key, us)
     return consecutive_gaps(theirs, key, us)
 
@@ -146,7 +146,7 @@ def _labelled_counts(model: AuditModel, facts: DataFrame, labels: list[str], by:
     source = model.data_source.select("data_source_id", "department")
     owner = model.document_ref.select("document_ref_id", "data_source_id")
     owner = owner.join(source, "data_source_id").select("document_ref_id", "department")
-    rules = hinted(model.policy.select("policy_id", *labels))
+    rules = model.policy.select("policy_id", *labels)
     size = F.count(F.lit(1))
     if is_small(model.document_ref):
         owner = F.broadcast(owner)
@@ -221,7 +221,7 @@ def top_policies(model: AuditModel, k: int = 3) -> DataFrame:
 
 def scan_throughput_micros(model: AuditModel) -> DataFrame:
     """Per UTC start hour of finished runs: volume, rate and duration percentiles in
-    microseconds."""
+    microseconds. While all runs together fit a task, so do those of an hour."""
     runs = model.scan_run.filter(F.col("finished_at").isNotNull())
     start, end = epoch_micros(runs, "started_at"), epoch_micros(runs, "finished_at")
     runs = runs.select(
@@ -238,6 +238,7 @@ def scan_throughput_micros(model: AuditModel) -> DataFrame:
         ["hour_utc"],
         "took_us",
         {"median_duration_us": MEDIAN, "p95_duration_us": P95},
+        few_distinct=model.scan_run.count() <= MOST_ROWS_PER_TASK,
         few_keys=True,
     )
     busy = F.nullif(F.col("busy_us"), F.lit(0).cast("decimal(29,0)"))

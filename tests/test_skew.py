@@ -17,7 +17,7 @@ from openloop.plans import reports
 from pyspark.sql import functions as F
 
 RELAXED = settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 
@@ -124,7 +124,7 @@ def test_large_plans_give_the_same_reports(spark, hot_model, monkeypatch):
     small = all_rows(hot_model)
     monkeypatch.setattr(sizing, "MOST_BROADCAST_ROWS", 0)
     monkeypatch.setattr(reports, "MOST_BROADCAST_ROWS", 0)
-    monkeypatch.setattr(reports, "MOST_EVENTS_PER_TASK", 0)
+    monkeypatch.setattr(reports, "MOST_ROWS_PER_TASK", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert all_rows(hot_model) == small
