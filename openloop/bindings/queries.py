@@ -532,7 +532,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _drain(stream: DataFrame) -> DataFrame:
     place = f"{shared_folder(stream.sparkSession)}/live-{uuid.uuid4().hex}"
-    return live.run_to_end(stream, f"{place}/rows", f"{place}/progress")
+    cores = stream.sparkSession.sparkContext.defaultParallelism
+    return live.run_to_end(stream, f"{place}/rows", f"{place}/progress", state_partitions=cores)
 
 
 @query

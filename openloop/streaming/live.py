@@ -138,15 +138,28 @@ def check_each_batch(findings: DataFrame, table: str, sink: str, checkpoint: str
     )
 
 
-def run_to_end(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:
-    """Processes what has arrived so far into Parquet files and reads them back."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+def run_to_end(
+    stream: DataFrame, sink: str, checkpoint: str, state_partitions: int | None = None
+) -> DataFrame:
+    """Processes what has arrived so far into Parquet files and reads them back.
+
+    ``state_partitions`` is kept for life with the checkpoint, so it is chosen for the cluster
+    rather than for one batch. A query takes the setting over when it starts.
+    """
+    spark = stream.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", sink)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(sink)
+    return spark.read.schema(stream.schema).parquet(sink)
