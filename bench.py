@@ -1,6 +1,6 @@
 """Times the headline queries on local Spark and prints one JSON line.
 
-Each query is run twice to warm up, then five times to completion (built and executed into a
+Each query is run twice to warm up, then three times to completion (built and executed into a
 sink that discards rows); the median counts. Environment: BENCH_SF_DIR, BENCH_CPUS.
 """
 
@@ -63,7 +63,7 @@ def main() -> None:
     for name in HEADLINE * 2:
         once(name)
     times = {
-        name: round(statistics.median(once(name) for _ in range(5)), 3) for name in HEADLINE
+        name: round(statistics.median(once(name) for _ in range(3)), 3) for name in HEADLINE
     }
     spark.stop()
     print(
