@@ -14,3 +14,62 @@ SELECT doc_id,
 FROM normal
 WINDOW same AS (PARTITION BY t)
 """
+
+# A token run of 13 with at most two substitutions holds four equal tokens in a row, so shared
+# 4-grams give all alignments that can qualify.
+ORACLES["op10_decontamination"] = r"""
+WITH tokens AS (
+    SELECT true AS is_item, item_id AS id,
+           list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS tok
+    FROM benchmark
+    UNION ALL
+    SELECT false, doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')
+    FROM documents
+),
+words AS (
+    SELECT is_item, id, len(tok) AS n, unnest(tok) AS word, generate_subscripts(tok, 1) - 1 AS pos FROM tokens
+),
+grams AS (
+    SELECT *, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w AS gram
+    FROM words WINDOW w AS (PARTITION BY is_item, id ORDER BY pos)
+),
+alignments AS (
+    SELECT DISTINCT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS doc_start
+    FROM grams AS d JOIN grams AS i ON d.gram = i.gram
+    WHERE NOT d.is_item AND i.is_item
+),
+placed AS (
+    SELECT a.doc_id, a.item_id, a.doc_start, i.n, i.pos, CASE WHEN d.word = i.word THEN 1 ELSE 0 END AS same
+    FROM alignments AS a
+    JOIN words AS i ON i.is_item AND i.id = a.item_id
+    LEFT JOIN words AS d ON NOT d.is_item AND d.id = a.doc_id AND d.pos = a.doc_start + i.pos
+),
+runs AS (
+    SELECT *, sum(same) OVER w AS near, count(*) OVER w AS width
+    FROM placed
+    WINDOW w AS (PARTITION BY doc_id, item_id, doc_start ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW)
+),
+found AS (
+    SELECT doc_id, item_id, doc_start, n, sum(same) AS matched
+    FROM runs GROUP BY ALL HAVING max(CASE WHEN width = 13 THEN near END) >= 11
+)
+SELECT doc_id, item_id, max(matched)::INT AS n_matched, max(n)::INT AS n_tokens,
+       arg_min(doc_start, (-matched, doc_start))::INT AS doc_start
+FROM found GROUP BY doc_id, item_id
+"""
+
+ORACLES["op9_warc_round_trip"] = r"""
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+),
+marked AS (
+    SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS last_id,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '') AS digest
+    FROM payloads
+)
+SELECT page_id, payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM last_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM last_id THEN last_id END AS refers_to
+FROM marked
+"""

@@ -1,4 +1,4 @@
-"""Registered queries of the corpus operators, one per operator."""
+"""Registered queries of the corpus operators, one per operator, over whole tables."""
 
 from __future__ import annotations
 
@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from openloop.llm.decontam import contaminated
 from openloop.llm.exact import exact_dedup
+from openloop.llm.langid import identify
+from openloop.llm.mixing import mix_sources
+from openloop.llm.quality_net import score_quality
 from openloop.llm.simhash import simhash_components
 from openloop.llm.texts import table
+from openloop.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +29,32 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = archived_pages(spark, table(spark, sf_dir, "pages"), min_bytes=0)
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
