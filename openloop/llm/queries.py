@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from openloop.llm.decontam import contaminated
 from openloop.llm.exact import exact_dedup
 from openloop.llm.langid import identify
 from openloop.llm.mixing import mix_sources
 from openloop.llm.quality_net import score_quality
+from openloop.llm.recompression import remove_repeated_passages
 from openloop.llm.simhash import simhash_components
+from openloop.llm.suffixes import remove_repeated_bytes
 from openloop.llm.texts import table
 from openloop.llm.warc import archived_pages
 
@@ -34,11 +37,26 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n_units").alias("n_bytes"), "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
