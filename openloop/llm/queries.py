@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openloop.llm.decontam import contaminated
@@ -16,6 +16,7 @@ from openloop.llm.recompression import remove_repeated_passages
 from openloop.llm.simhash import simhash_components
 from openloop.llm.suffixes import remove_repeated_bytes
 from openloop.llm.texts import table
+from openloop.llm.tokens import count_tokens
 from openloop.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,27 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents before and after three edits of each, whose places and
+    lengths are hashes of the id and whose new text is a piece of the document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = F.coalesce(F.length("text"), F.lit(0)) + 1
+
+    def draw(number: int, below: Column | int) -> Column:
+        return F.pmod(F.xxhash64("doc_id", F.lit(number)), F.lit(below) if isinstance(below, int) else below)
+
+    edits = F.array(*(
+        F.struct(
+            draw(k, size).alias("start"), draw(k + 1, 24).alias("removed"),
+            F.substring("text", draw(k + 2, size).cast("int") + 1, F.lit(16)).alias("inserted"),
+        )
+        for k in (0, 3, 6)
+    ))
+    counted = count_tokens(docs.withColumn("edits", edits), edits_column="edits")
+    return counted.select("doc_id", "n_tokens", "n_edits", "tokens_after", "reencoded")
+
+
 @query
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
