@@ -1,6 +1,6 @@
 """Quality classifier: a byte-level convolutional network, trained and applied in numpy.
 
-Each byte has a learned vector. Learned filters look at chunks of 16 bytes that overlap by half
+Each byte has a learned vector. Learned filters look at chunks of 32 bytes that overlap by half
 and together cover the whole document; each filter keeps its largest answer over all chunks, and
 a logistic unit combines these into one probability.
 """
@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from openloop.llm.texts import held_out, text_bytes
 
-CHUNK, STEP, WIDTH, FILTERS = 16, 8, 4, 24
+CHUNK, STEP, WIDTH, FILTERS = 32, 16, 4, 24
 #: Chunks that are held in memory at a time, of a document of any length.
 BLOCK = 1 << 15
 #: At most so many learning documents of each class, those with the smallest hash of their id.
 SAMPLE = 1000
-EPOCHS, BATCH, RATE = 14, 25, 0.01
+STEPS, BATCH, RATE = 1200, 24, 0.01
+#: Short pieces of good documents are learned as good as well, this many bytes long.
+PIECE = (4, 160)
 
 
 @dataclass
@@ -33,8 +35,8 @@ class Net:
     weights: np.ndarray  # (FILTERS,)
     bias: float
 
-    def pooled(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Largest answer of each filter and the byte where its chunk begins."""
+    def pooled(self, text: bytes, places: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Largest answer of each filter and, if asked for, the byte where its chunk begins."""
         chunks = max(0, -(-(len(text) - CHUNK) // STEP)) + 1
         padded = np.zeros((chunks - 1) * STEP + CHUNK, dtype=np.uint8)
         padded[: len(text)] = np.frombuffer(text, dtype=np.uint8)
@@ -46,6 +48,9 @@ class Net:
                 part, (count, CHUNK * WIDTH), (STEP * WIDTH * part.itemsize, part.itemsize), writeable=False
             )
             answers = views @ self.filters
+            if not places:
+                np.maximum(best, answers.max(axis=0), out=best)
+                continue
             top = answers.argmax(axis=0)
             value = answers[top, np.arange(FILTERS)]
             better = value > best
@@ -53,13 +58,17 @@ class Net:
         return best + self.shift, where
 
     def probability(self, text: bytes) -> float:
-        answers = np.maximum(self.pooled(text)[0], 0)
+        answers = np.maximum(self.pooled(text, places=False)[0], 0)
         return float(1 / (1 + np.exp(-np.clip(answers @ self.weights + self.bias, -30, 30))))
 
 
 def train(texts: list[bytes], labels: list[int], prior: float, seed: int = 0) -> Net:
-    """Adam on the log loss. ``prior`` is the share of label 1 outside the balanced sample."""
+    """STEPS steps of Adam on the log loss. ``prior`` is the share of label 1 outside the balanced sample."""
     rng = np.random.default_rng(seed)
+    sizes = rng.integers(*PIECE, len(texts))
+    places = rng.random(len(texts))
+    pieces = [t[int(p * len(t)) :][:n] for t, y, n, p in zip(texts, labels, sizes, places) if y]
+    texts, labels = texts + pieces, labels + [1] * len(pieces)
     net = Net(
         rng.normal(0, 0.5, (256, WIDTH)).astype(np.float32),
         rng.normal(0, 0.25, (CHUNK * WIDTH, FILTERS)).astype(np.float32),
@@ -68,36 +77,38 @@ def train(texts: list[bytes], labels: list[int], prior: float, seed: int = 0) ->
     names = ("vectors", "filters", "shift", "weights", "bias")
     first = {n: np.zeros_like(getattr(net, n), dtype=np.float64) for n in names}
     second = {n: v.copy() for n, v in first.items()}
-    steps = 0
-    for epoch in range(EPOCHS):
-        order = rng.permutation(len(texts))
-        for start in range(0, len(order), BATCH):
-            slopes = {n: np.zeros_like(first[n]) for n in names}
-            batch = order[start : start + BATCH]
-            for index in batch:
-                text = texts[index]
-                raw, where = net.pooled(text)
-                answers = np.maximum(raw, 0)
-                chance = 1 / (1 + np.exp(-np.clip(answers @ net.weights + net.bias, -30, 30)))
-                slope = (chance - labels[index]) / len(batch)
-                slopes["bias"] += slope
-                slopes["weights"] += slope * answers
-                back = slope * net.weights * (raw > 0)
-                slopes["shift"] += back
-                padded = np.frombuffer(text + bytes(CHUNK), dtype=np.uint8)
-                seen = padded[where[:, None] + np.arange(CHUNK)]  # (FILTERS, CHUNK)
-                slopes["filters"] += (net.vectors[seen].reshape(FILTERS, -1) * back[:, None]).T
-                inner = (net.filters * back).T.reshape(FILTERS * CHUNK, WIDTH)
-                np.add.at(slopes["vectors"], seen.ravel(), inner)
-            steps += 1
-            rate = RATE * (0.5 if epoch >= EPOCHS * 2 // 3 else 1)
-            for n in names:
-                first[n] += 0.1 * (slopes[n] - first[n])
-                second[n] += 0.001 * (slopes[n] ** 2 - second[n])
-                change = rate * (first[n] / (1 - 0.9**steps)) / (np.sqrt(second[n] / (1 - 0.999**steps)) + 1e-8)
-                value = getattr(net, n) - change
-                setattr(net, n, value.astype(np.float32) if n != "bias" else float(value))
-    net.bias += float(np.log(prior / (1 - prior)) - np.log(np.mean(labels) / (1 - np.mean(labels))))
+    wanted = np.array(labels, dtype=np.float64)
+    classes = [np.flatnonzero(wanted == c) for c in (0, 1)]
+    for steps in range(1, STEPS + 1):
+        batch = np.concatenate([rng.choice(c, BATCH // 2) for c in classes])  # both classes alike
+        looks = [net.pooled(texts[index]) for index in batch]
+        raw = np.stack([answers for answers, _ in looks])  # (documents, FILTERS)
+        seen = np.stack([
+            np.frombuffer(texts[index] + bytes(CHUNK), dtype=np.uint8)[where[:, None] + np.arange(CHUNK)]
+            for index, (_, where) in zip(batch, looks)
+        ])  # the bytes of each filter's chunk: (documents, FILTERS, CHUNK)
+        answers = np.maximum(raw, 0)
+        chance = 1 / (1 + np.exp(-np.clip(answers @ net.weights + net.bias, -30, 30)))
+        slope = (chance - wanted[batch]) / len(batch)
+        back = slope[:, None] * net.weights * (raw > 0)
+        chunks = net.vectors[seen].reshape(len(batch), FILTERS, CHUNK * WIDTH)
+        inner = back[:, :, None] * net.filters.T
+        inner = inner.reshape(-1, WIDTH)
+        slopes = {
+            "bias": slope.sum(),
+            "weights": slope @ answers,
+            "shift": back.sum(axis=0),
+            "filters": np.einsum("df,dfk->kf", back, chunks),
+            "vectors": np.stack([np.bincount(seen.ravel(), inner[:, k], 256) for k in range(WIDTH)], axis=1),
+        }
+        rate = RATE * (0.5 if steps > STEPS * 2 // 3 else 1)
+        for n in names:
+            first[n] += 0.1 * (slopes[n] - first[n])
+            second[n] += 0.001 * (slopes[n] ** 2 - second[n])
+            change = rate * (first[n] / (1 - 0.9**steps)) / (np.sqrt(second[n] / (1 - 0.999**steps)) + 1e-8)
+            value = getattr(net, n) - change
+            setattr(net, n, value.astype(np.float32) if n != "bias" else float(value))
+    net.bias += float(np.log(prior / (1 - prior)))
     return net
 
 
