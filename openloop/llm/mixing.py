@@ -10,6 +10,7 @@ Slots and blocks then meet in an equality join on (source, block).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,9 +22,6 @@ from openloop.llm.texts import word_count
 # Primes above any number of blocks, so each is coprime to it.
 PRIMES = (2**61 - 1, 2**63 - 25, 2**63 - 165, 2**63 - 259, 2**63 - 301, 2**63 - 375)
 
-#: Documents of a source that are numbered by one running sum.
-CHUNK_ROWS = 1 << 16
-
 
 @dataclass(frozen=True)
 class Mix:
@@ -87,9 +85,10 @@ def permuted(index: Column, blocks: Column, salt: Column) -> Column:
 def _stream(sizes: DataFrame, ranks: DataFrame) -> DataFrame:
     """``sizes`` with the rank of the source and the offset of the document in its stream.
 
-    A two-level prefix sum: documents fall into hashed chunks of about CHUNK_ROWS, chunk totals
-    are summed up per source, and a running sum orders the documents of one chunk."""
-    chunks = max(1, -(-sizes.count() // CHUNK_ROWS))
+    A two-level prefix sum: documents fall into hashed chunks, chunk totals are summed up per
+    source, and a running sum orders the documents of one chunk. With n documents there are as
+    many chunks as a chunk has documents, so both windows stay at the square root of n."""
+    chunks = max(1, math.isqrt(sizes.count()))
     rows = sizes.join(ranks.select("src", "rank"), sizes["src"].eqNullSafe(ranks["src"])).select(
         "rank", "doc", "tie", "size", F.pmod(F.xxhash64("doc", "tie"), F.lit(chunks)).alias("chunk")
     )
