@@ -153,28 +153,37 @@ SELECT hour_utc, count(*) AS runs, CAST(sum(documents_scanned) AS BIGINT) AS doc
        max(took_us) AS max_duration_us
 FROM ranked GROUP BY hour_utc"""
 
+# The next purchase of the same user at or after each event: the frame holds all later rows and
+# those of the same instant.
+NEXT_PURCHASE = """newest AS (SELECT max(ts) AS ts FROM events),
+next_purchase AS (
+    SELECT *, min(ts) FILTER (event_type = 'purchase') OVER (
+               PARTITION BY user_id ORDER BY ts RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING
+           ) AS bought_at
+    FROM events)"""
+
 ORACLES["q5_errors_unresolved"] = f"""
-WITH newest AS (SELECT max(ts) AS ts FROM events)
+WITH {NEXT_PURCHASE}
 SELECT f.event_id, f.user_id, f.ts AS flagged_at,
        {half_up('epoch_us(newest.ts) - epoch_us(f.ts)', '86400000000')} AS days_open
-FROM events f, newest
-WHERE f.event_type = 'error'
-  AND NOT EXISTS (SELECT 1 FROM events r
-                  WHERE r.user_id = f.user_id AND r.event_type = 'purchase'
-                    AND r.ts >= f.ts AND r.ts <= f.ts + INTERVAL 2 DAY)
-  AND f.ts <= newest.ts - INTERVAL 2 DAY"""
+FROM next_purchase AS f, newest
+WHERE f.event_type = 'error' AND epoch_us(newest.ts) - epoch_us(f.ts) >= 172800000000
+  AND coalesce(epoch_us(f.bought_at) - epoch_us(f.ts) > 172800000000, true)"""
+
+NEXT_SETTLED = """
+    SELECT *, min(l_shipdate) FILTER (l_returnflag <> 'R') OVER (
+               PARTITION BY l_suppkey, l_partkey ORDER BY l_shipdate
+               RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS settled_at
+    FROM lineitem"""
 
 ORACLES["q5_returns_unclosed"] = f"""
 WITH {SOURCES},
 newest AS (SELECT max(l_shipdate) AS ts FROM lineitem),
+next_settled AS ({NEXT_SETTLED}),
 waiting AS (
-    SELECT f.*, newest.ts AS newest_ts FROM lineitem f, newest
-    WHERE f.l_returnflag = 'R'
-      AND NOT EXISTS (SELECT 1 FROM lineitem r
-                      WHERE r.l_suppkey = f.l_suppkey AND r.l_partkey = f.l_partkey
-                        AND r.l_returnflag IN ('A', 'N') AND r.l_shipdate >= f.l_shipdate
-                        AND r.l_shipdate <= f.l_shipdate + INTERVAL 30 DAY)
-      AND f.l_shipdate <= newest.ts - INTERVAL 30 DAY),
+    SELECT f.*, newest.ts AS newest_ts FROM next_settled AS f, newest
+    WHERE f.l_returnflag = 'R' AND f.l_shipdate + to_days(30) <= newest.ts
+      AND (f.settled_at IS NULL OR f.settled_at > f.l_shipdate + to_days(30))),
 labelled AS (
     SELECT department, name AS data_source, env, p_brand AS policy_code, {SEVERITY} AS severity,
            s_name AS external_document_id, l_shipdate AS flagged_at, l_linestatus AS reason,
@@ -224,12 +233,13 @@ SELECT l_linestatus, {between_ranks('cents', (1, 2))} AS p50,
 FROM ranked GROUP BY 1"""
 
 ORACLES["j5_never_closed_hot_keys"] = """
-SELECT l_orderkey, l_linenumber, l_partkey, l_linestatus, l_shipdate FROM lineitem f
-WHERE l_returnflag = 'R'
-  AND NOT EXISTS (SELECT 1 FROM lineitem r
-                  WHERE r.l_linestatus = f.l_linestatus AND r.l_returnflag = 'A'
-                    AND r.l_quantity = 50 AND r.l_shipdate >= f.l_shipdate
-                    AND r.l_shipdate <= f.l_shipdate + INTERVAL 1 DAY)"""
+WITH accepted AS (
+    SELECT *, min(l_shipdate) FILTER (l_returnflag = 'A') OVER (
+               PARTITION BY l_linestatus ORDER BY l_shipdate
+               RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS accepted_at
+    FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_linestatus, l_shipdate FROM accepted
+WHERE l_returnflag = 'R' AND coalesce(accepted_at > l_shipdate + to_hours(1), true)"""
 
 
 # Sources -------------------------------------------------------------------------------------
@@ -242,6 +252,20 @@ PARTS = f"""parts AS (
            END AS effective_to
     FROM part)"""
 
+ORACLES["s1_csv_files"] = f"""
+WITH {PARTS}
+SELECT policy_code, title, severity, epoch_us(effective_from) AS effective_from,
+       epoch_us(effective_to) AS effective_to
+FROM parts"""
+
+ORACLES["s8_report_envelope"] = """
+SELECT 'cumulative-load' AS slug, count(DISTINCT CAST(ts AS DATE)) AS count,
+       count(DISTINCT CAST(ts AS DATE)) AS stored, count(*) AS last_total
+FROM events"""
+
+ORACLES["s11_action_layout"] = """
+SELECT l_suppkey AS document_ref_id, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1"""
+
 ORACLES["s1_csv_parse"] = f"""
 WITH {PARTS}
 SELECT policy_id, policy_code, title, severity, epoch_us(effective_from) AS effective_from,
@@ -311,8 +335,9 @@ findings AS (
            l_linenumber AS line
     FROM lineitem)"""
 
-_BEFORE = """FROM findings JOIN documents_seen USING (document_ref_id)
-    WHERE detected_at < first_seen_at"""
+_BEFORE = """FROM findings
+    WHERE detected_at < (SELECT max(d.first_seen_at) FROM documents_seen AS d
+                         WHERE d.document_ref_id = findings.document_ref_id)"""
 _OUTSIDE = """FROM findings JOIN runs USING (scan_run_id)
     WHERE detected_at < started_at OR (finished_at IS NOT NULL AND detected_at > finished_at)"""
 _OVERFULL = """FROM (SELECT scan_run_id, count(DISTINCT document_ref_id) AS documents
@@ -322,8 +347,8 @@ _OVERFULL = """FROM (SELECT scan_run_id, count(DISTINCT document_ref_id) AS docu
 
 def _orphan(child: str, key: str, parent: str) -> str:
     return (
-        f"SELECT count(*) FROM {child} c LEFT JOIN {parent} p ON c.{key} = p.{key}"
-        f" WHERE p.{key} IS NULL"
+        f"SELECT coalesce(sum(n), 0) FROM (SELECT {key}, count(*) AS n FROM {child} GROUP BY {key})"
+        f" WHERE NOT coalesce({key} IN (SELECT {key} FROM {parent}), false)"
     )
 
 
@@ -337,13 +362,9 @@ _TRADE_QUERIES = {
     "top-policies-per-department": f"SELECT count(*) FROM ({ORACLES['q3_top_brands']})",
     "scan-throughput": """SELECT count(DISTINCT extract(hour FROM started_at)) FROM runs
         WHERE finished_at IS NOT NULL""",
-    "flagged-never-actioned": """SELECT count(*) FROM lineitem f
-        WHERE f.l_returnflag = 'R'
-          AND NOT EXISTS (SELECT 1 FROM lineitem r
-                          WHERE r.l_suppkey = f.l_suppkey AND r.l_partkey = f.l_partkey
-                            AND r.l_returnflag IN ('A', 'N') AND r.l_shipdate >= f.l_shipdate
-                            AND r.l_shipdate <= f.l_shipdate + INTERVAL 2 DAY)
-          AND f.l_shipdate <= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 2 DAY""",
+    "flagged-never-actioned": f"""SELECT count(*) FROM ({NEXT_SETTLED}) AS f
+        WHERE f.l_returnflag = 'R' AND coalesce(f.settled_at > f.l_shipdate + to_days(2), true)
+          AND f.l_shipdate + to_days(2) <= (SELECT max(l_shipdate) FROM lineitem)""",
     "cumulative-load": "SELECT count(DISTINCT CAST(detected_at AS DATE)) FROM findings",
 }
 # The same expected numbers as the registered gate.
@@ -405,8 +426,9 @@ _GATE += [
         "Grain",
         "duplicate (run,doc,policy) triples",
         0,
-        "SELECT count(*) FROM (SELECT 1 FROM findings"
-        " GROUP BY scan_run_id, document_ref_id, policy_id HAVING count(*) > 1)",
+        "SELECT count(*) FROM (SELECT DISTINCT scan_run_id, document_ref_id, policy_id FROM ("
+        "SELECT *, count(*) OVER (PARTITION BY scan_run_id, document_ref_id, policy_id) AS n"
+        " FROM findings) WHERE n > 1)",
     ),
     ("Invariants", "violation before doc first_seen_at", 0, f"SELECT count(*) {_BEFORE}"),
     ("Invariants", "violation outside its run window", 0, f"SELECT count(*) {_OUTSIDE}"),
@@ -424,6 +446,18 @@ ORACLES["k_gate"] = (
     + ")\nSELECT *, expected = actual AS ok FROM checks"
 )
 
+ORACLES["k30_failed_checks"] = (
+    f"WITH {TRADE},\nchecks AS ("
+    + "\nUNION ALL ".join(
+        f"SELECT '{category}' AS category, '{name}' AS name, CAST({expected} AS BIGINT)"
+        f" AS expected, CAST(({sql}) AS BIGINT) AS actual"
+        for category, name, expected, sql in _GATE
+        if category in ("Integrity", "Grain", "Invariants")
+    )
+    + ")\nSELECT *, category || ': ' || name || ': expected ' || expected || ', got ' || actual AS message"
+    " FROM checks WHERE expected <> actual"
+)
+
 ORACLES["k10_orphans_orders"] = """
 SELECT o_custkey, count(*) AS n FROM orders
 WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL) GROUP BY 1"""
@@ -572,12 +606,46 @@ ORACLES["l3_load_summary_by_route"] = _summary("day, route")
 ORACLES["l5_outages"] = f"""
 SELECT * FROM ({_summary('day, endpoint')}) WHERE ok = 0"""
 
+ORACLES["l4_redact_maps_arrays"] = """
+SELECT event_id,
+       '{"req":{"headers":{"accept":"' || event_type || '"},"user":' || user_id
+       || '},"db":[{"name":' || user_id || '}],"pools":{"first":{}}}' AS record
+FROM events"""
+
 ORACLES["l4_redact"] = """
 SELECT event_id,
        '{"req":{"headers":{"accept":"' || event_type || '"},"user":' || user_id
        || '},"db":{"name":' || user_id || '}}' AS record
 FROM events"""
 
+_REPEATED_LOAD = """numbered AS (
+    SELECT (date_diff('day', DATE '1970-01-01', l_shipdate::DATE) * 100 + l_linenumber) * 100
+               + ascii(l_returnflag) AS violation_id,
+           l_orderkey, l_suppkey, l_partkey, l_returnflag, l_linenumber
+    FROM lineitem),
+everything AS (
+    SELECT violation_id, l_orderkey, l_suppkey, l_partkey, l_returnflag, false AS in_batch FROM numbered
+    UNION ALL
+    SELECT violation_id + CASE WHEN l_linenumber % 2 = 0 THEN 1 ELSE -1 END, l_orderkey, l_suppkey,
+           l_partkey, l_returnflag, true
+    FROM numbered WHERE l_returnflag = 'R'
+    UNION ALL
+    SELECT violation_id, -l_orderkey, l_suppkey, l_partkey, l_returnflag, true FROM numbered)"""
+
+ORACLES["m4_add_keep_first"] = f"""
+WITH {_REPEATED_LOAD},
+ranked AS (
+    SELECT *, row_number() OVER (triple ORDER BY violation_id) AS place,
+           bool_or(in_batch) OVER triple AS touched
+    FROM everything WINDOW triple AS (PARTITION BY l_orderkey, l_suppkey, l_partkey))
+SELECT violation_id, l_orderkey, l_suppkey, l_partkey, l_returnflag FROM ranked
+WHERE place = 1 OR NOT touched"""
+
+ORACLES["m4_repeated_in_batch"] = f"""
+WITH {_REPEATED_LOAD}
+SELECT l_orderkey, l_suppkey, l_partkey, count(*) AS n FROM everything
+GROUP BY ALL HAVING bool_or(in_batch) AND count(*) > 1"""
+
 # Lookups and named extensions ----------------------------------------------------------------
 
 ORACLES["p11_policies_in_force"] = f"""
@@ -665,6 +733,13 @@ SELECT CAST(detected_at AS DATE) AS day, policy_id, action_taken, count(*) AS vi
        CAST(date_trunc('month', detected_at) AS DATE) AS month
 FROM findings GROUP BY ALL"""
 
+ORACLES["e4_rollup_read"] = f"""
+WITH {TRADE}
+SELECT CAST(detected_at AS DATE) AS day, policy_id, action_taken, count(*) AS violations,
+       CAST(date_trunc('month', detected_at) AS DATE) AS month
+FROM findings
+WHERE CAST(detected_at AS DATE) BETWEEN DATE '1996-03-10' AND DATE '1997-02-20' GROUP BY ALL"""
+
 ORACLES["e4_load_between"] = _running(
     "(SELECT l_shipdate FROM lineitem WHERE CAST(l_shipdate AS DATE)"
     " BETWEEN DATE '1996-03-10' AND DATE '1997-02-20')",

@@ -20,7 +20,7 @@ from openloop.operators.open_loops import never_closed
 from openloop.operators.percentiles import exact_percentiles
 from openloop.operators.validity import eligible_runs, policies_by_month, policies_in_force
 from openloop.plans import maintenance, quality, reports, rollups, telemetry
-from openloop.sources import interchange, records
+from openloop.sources import interchange, publish, records
 from openloop.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,15 +146,15 @@ def a7_percentiles_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def j5_never_closed_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Returned lines with no accepted line of 50 units and the same status within a day."""
+    """Returned lines with no accepted line of the same status within an hour."""
     lines = star.table(spark, sf_dir, "lineitem")
     lines = lines.withColumn("us", epoch_micros(lines, "l_shipdate"))
     openers = lines.filter(F.col("l_returnflag") == "R").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_linestatus", "us", "l_shipdate"
     )
-    closers = lines.filter((F.col("l_returnflag") == "A") & (F.col("l_quantity") == 50))
+    closers = lines.filter(F.col("l_returnflag") == "A")
     keys = ["l_linestatus"]
-    return never_closed(openers, closers.select(*keys, "us"), keys, "us", DAY_US).drop("us")
+    return never_closed(openers, closers.select(*keys, "us"), keys, "us", HOUR_US).drop("us")
 
 
 # Sources -------------------------------------------------------------------------------------
@@ -177,6 +177,43 @@ def s1_csv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shared_place(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def s1_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written as a folder of interchange files and read back by the declared schema."""
+    place = _shared_place(spark, "csv")
+    interchange.write_table(star.parts(spark, sf_dir), place, "policy")
+    rows = interchange.read_table(spark, place, "policy").drop("file_path", "block_start")
+    return rows.withColumns({n: epoch_micros(rows, n) for n in ("effective_from", "effective_to")})
+
+
+@query
+def s8_report_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slug and number of rows of a report whose rows are stored as JSON lines."""
+    slug = "cumulative-load"
+    rows = reports.REPORTS[slug].run(star.event_model(spark, sf_dir))
+    envelope = publish.report_result(slug, rows, _shared_place(spark, "report"))
+    stored = spark.read.schema(rows.schema).json(envelope["rows"])
+    return stored.agg(
+        F.lit(envelope["slug"]).alias("slug"),
+        F.lit(envelope["count"]).cast("bigint").alias("count"),
+        F.count(F.lit(1)).alias("stored"),
+        F.max("cumulative_violations").alias("last_total"),
+    )
+
+
+@query
+def s11_action_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returned lines per supplier, read from a layout that is split by action."""
+    place = _shared_place(spark, "by-action")
+    publish.save_by_action(star.line_findings(spark, sf_dir), place)
+    returned = spark.read.parquet(place).filter(F.col("action_taken") == "R")
+    return returned.groupBy("document_ref_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def s2_dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items numbered 1..N in file order."""
@@ -252,12 +289,20 @@ TRADE_REPORTS = {
 
 @query
 def k_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 26 checks on the trade tables."""
+    """All checks on the trade tables, whose actions have three values."""
     return quality.quality_gate(
         star.trade_model(spark, sf_dir), TRADE_COUNTS, TRADE_ACTIONS, TRADE_REPORTS
     )
 
 
+@query
+def k30_failed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integrity, grain and invariant checks that do not match on the trade tables."""
+    model = star.trade_model(spark, sf_dir)
+    checks = quality.integrity_checks(model).unionByName(quality.grain_check(model))
+    return quality.failed_checks(checks.unionByName(quality.invariant_checks(model)))
+
+
 @query
 def k10_orphans_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of orders that never appear as users of events."""
@@ -381,6 +426,37 @@ def m4_first_per_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.first_per_grain(lines, ["l_orderkey", "l_linenumber"], order)
 
 
+def _repeated_load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Line items with a key of their own, and a batch that brings all returned lines again with
+    later keys (every third one with an earlier key), next to lines of new orders."""
+    table = star.table(spark, sf_dir, "lineitem")
+    day = F.unix_date(day_of(table, "l_shipdate")).cast("bigint")
+    number = (day * 100 + F.col("l_linenumber")) * 100 + F.ascii("l_returnflag")
+    later = F.when(F.col("l_linenumber") % 2 == 0, 1).otherwise(-1)
+    columns = ("l_suppkey", "l_partkey", "l_returnflag")
+    lines = table.select(number.alias("violation_id"), "l_orderkey", *columns)
+    again = table.filter(F.col("l_returnflag") == "R").select(
+        (number + later).alias("violation_id"), "l_orderkey", *columns
+    )
+    new = table.select(number.alias("violation_id"), (-F.col("l_orderkey")).alias("l_orderkey"), *columns)
+    return lines, again.unionByName(new)
+
+
+LINE_GRAIN = ["l_orderkey", "l_suppkey", "l_partkey"]
+
+
+@query
+def m4_add_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    existing, batch = _repeated_load(spark, sf_dir)
+    return maintenance.add_findings(existing, batch, "keep_first", LINE_GRAIN)
+
+
+@query
+def m4_repeated_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    existing, batch = _repeated_load(spark, sf_dir)
+    return maintenance.repeated_findings(existing, batch, LINE_GRAIN)
+
+
 # Request log ---------------------------------------------------------------------------------
 
 
@@ -427,9 +503,33 @@ def l4_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("event_id", F.to_json(F.struct(*inside)).alias("record"))
 
 
+@query
+def l4_redact_maps_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event records with credentials as keys of maps, in arrays and in a struct of nothing
+    else, after redaction, as JSON."""
+    events = star.table(spark, sf_dir, "events")
+    secret = F.col("props").alias("password")
+    log = events.select(
+        "event_id",
+        F.struct(
+            F.create_map(
+                F.lit("authorization"), F.col("props"), F.lit("accept"), F.col("event_type"),
+                F.lit("cookie"), F.col("props"),
+            ).alias("headers"),
+            F.col("user_id").alias("user"),
+        ).alias("req"),
+        F.array(F.struct(F.col("user_id").alias("name"), secret)).alias("db"),
+        F.struct(F.col("props").alias("authorization"), F.col("props").alias("cookie")).alias("headers"),
+        F.create_map(F.lit("first"), F.create_map(F.lit("password"), F.col("props"))).alias("pools"),
+    )
+    kept = telemetry.redact(log, (*telemetry.SENSITIVE_PATHS, "pools.*.password"))
+    inside = [c for c in kept.columns if c != "event_id"]
+    return kept.select("event_id", F.to_json(F.struct(*inside)).alias("record"))
+
+
 @query
 def l5_outages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours of an endpoint without one successful request."""
+    """Days of an endpoint without one successful request."""
     log = star.request_log(spark, sf_dir)
     return telemetry.outages(log.withColumn("day", day_of(log, "ts")), ["day", "endpoint"])
 
@@ -494,6 +594,14 @@ def e4_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.daily_rollup(star.trade_model(spark, sf_dir))
 
 
+@query
+def e4_rollup_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of days read from the rollup as it is stored."""
+    place = _shared_place(spark, "rollup")
+    rollups.write_rollup(star.trade_model(spark, sf_dir), place)
+    return rollups.read_rollup(spark, place, dt.date(1996, 3, 10), dt.date(1997, 2, 20))
+
+
 @query
 def e4_load_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = star.trade_model(spark, sf_dir)
@@ -522,11 +630,8 @@ def f12_external_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arriving = (
-        spark.readStream.schema(star.GIVEN["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    # A pattern that matches this name only: one file or a folder of part files.
+    arriving = spark.readStream.schema(star.GIVEN["events"]).parquet(f"{sf_dir}/events.parque[t]")
     return live.with_event_time(arriving, "ts")
 
 
@@ -574,8 +679,7 @@ def t3_live_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     live.check_each_batch(
         findings, "violation", f"{place}/rows", f"{place}/progress"
     ).awaitTermination()
-    stored = spark.read.schema("rule string, failures bigint, batch bigint").parquet(f"{place}/rows")
-    return stored.groupBy("rule").agg(F.sum("failures").alias("failures"))
+    return live.failures_so_far(spark, "violation", f"{place}/rows")
 
 
 @query

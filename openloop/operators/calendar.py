@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from openloop.functions.durable import staged
+
 # Calendar units and the step each one takes.
 STEPS = {"day": "interval 1 day", "month": "interval 1 month"}
 
@@ -13,8 +15,10 @@ def calendar_spine(
     counts: DataFrame, date: str, value: str, unit: str, keys: list[str] | None = None
 ) -> DataFrame:
     """``counts`` (one row per key and date) with the missing dates of each key added as zero,
-    from the first to the last date over all keys. Without ``keys`` it is one series."""
+    from the first to the last date over all keys. Without ``keys`` it is one series. Counts are
+    stored first, since ends, keys and the spine all read them."""
     keys = keys or []
+    counts = staged(counts)
     ends = counts.agg(F.min(date).alias("low"), F.max(date).alias("high"))
     low, high = ends.select("low").scalar(), ends.select("high").scalar()
     series = counts.select(*keys).distinct() if keys else ends.select()

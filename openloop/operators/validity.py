@@ -14,6 +14,7 @@ from openloop.functions.clock import (
     month_of,
     slot_of,
 )
+from openloop.functions.durable import staged
 
 
 def in_force(at: Column, start: Column, end: Column) -> Column:
@@ -77,13 +78,13 @@ def eligible_runs(flags: DataFrame, runs: DataFrame, days: int) -> DataFrame:
     flag_us = epoch_micros(flags, flags_time(flags))
     starts = runs.select(epoch_micros(runs, "started_at").alias("us")).groupBy("us")
     starts = starts.agg(F.count(F.lit(1)).alias("n"))
-    moments = flags.select(flag_us.alias("flag_us")).distinct()
+    moments = staged(flags.select(flag_us.alias("flag_us")).distinct())
     ends = moments.select(
         F.explode(F.array(F.col("flag_us"), F.col("flag_us") + F.lit(width))).alias("us"),
         F.lit(0).cast("bigint").alias("n"),
     )
     marks = starts.unionByName(ends).groupBy("us").agg(F.sum("n").alias("n"))
-    totals = _running_runs(marks)
+    totals = staged(_running_runs(staged(marks)))
     opening = totals.select(F.col("us").alias("flag_us"), F.col("runs_upto").alias("at_flag"))
     closing = totals.select(
         (F.col("us") - F.lit(width)).alias("flag_us"), F.col("runs_upto").alias("at_end")

@@ -204,10 +204,10 @@ def invariant_checks(model: AuditModel) -> DataFrame:
 
 
 def report_checks(model: AuditModel, sizes: dict[str, int] = BASELINE_REPORTS) -> DataFrame:
-    """Row count of each report at its default parameters."""
+    """Row count of each report at its default parameters, taken before labels and order."""
     return _together(
         [
-            _lines(REPORTS[slug].run(model), [("Regression", slug, n, _size())])
+            _lines(REPORTS[slug].rows(model), [("Regression", slug, n, _size())])
             for slug, n in sizes.items()
         ]
     )
@@ -233,6 +233,14 @@ class QualityFailure(AssertionError):
     """At least one check did not match."""
 
 
+def failed_checks(checks: DataFrame) -> DataFrame:
+    """The checks that do not match, each with its message."""
+    message = F.format_string(
+        "%s: %s: expected %d, got %d", "category", "name", "expected", "actual"
+    )
+    return checks.filter(~F.col("ok")).withColumn("message", message).drop("ok")
+
+
 def require_pass(checks: DataFrame) -> int:
     """Number of checks when all match; raises with each mismatch spelled out otherwise. The
     input has one row per check, so it is small by construction."""
@@ -287,15 +295,20 @@ def broken_rules(df: DataFrame, table: str) -> DataFrame:
     return df.withColumn("broken", F.array_compact(found))
 
 
-def rule_counts(df: DataFrame, table: str) -> DataFrame:
-    """Failures per rule, found ones only: rows breaking a row rule, and key values that occur
-    more than once."""
-    rows = (
+def row_rule_counts(df: DataFrame, table: str) -> DataFrame:
+    """Rows that break a row rule, per rule, found ones only."""
+    return (
         broken_rules(df, table)
         .select(F.explode("broken").alias("rule"))
         .groupBy("rule")
         .agg(_size().alias("failures"))
     )
+
+
+def rule_counts(df: DataFrame, table: str) -> DataFrame:
+    """Failures per rule, found ones only: rows breaking a row rule, and key values that occur
+    more than once."""
+    rows = row_rule_counts(df, table)
     for keys in schemas.UNIQUE[table]:
         groups = duplicate_groups(df, keys).agg(_size().alias("failures"))
         rows = rows.unionByName(

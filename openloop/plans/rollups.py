@@ -43,12 +43,12 @@ def daily_rollup(model: AuditModel) -> DataFrame:
     )
 
 
-def write_rollup(model: AuditModel, path: str) -> None:
-    """Stores the rollup by month, one sorted group of files per month, so that a range of
-    dates reads its months only."""
+def write_rollup(model: AuditModel, path: str, spread: int = 8) -> None:
+    """Stores the rollup by month, at most ``spread`` sorted files per month, so that a range of
+    dates reads its months only and a large month is not one task."""
     (
         daily_rollup(model)
-        .repartition("month")
+        .repartition("month", F.pmod(F.xxhash64("policy_id"), F.lit(spread)))
         .sortWithinPartitions("day")
         .write.mode("overwrite")
         .partitionBy("month")

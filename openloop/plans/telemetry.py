@@ -117,28 +117,48 @@ def outages(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     return load_summary(log, by).filter(F.col("ok") == 0)
 
 
-def _targets(path: str, schema: T.StructType) -> list[list[str]]:
-    """Field paths of ``schema`` that a sensitive path names."""
-    head, _, tail = path.partition(".")
-    names = [f for f in schema.fields if head in ("*", f.name)]
-    if not tail:
-        return [[f.name] for f in names if head != "*"]
-    found = []
-    for f in names:
-        if isinstance(f.dataType, T.StructType):
-            found += [[f.name, *rest] for rest in _targets(tail, f.dataType)]
-    return found
+def _without(value: Column, kind: T.DataType, paths: list[list[str]]) -> Column | None:
+    """``value`` without what ``paths`` (relative to it) name, or None if nothing is left.
+
+    A path steps into structs and maps by name, ``*`` by any name, and into arrays without a
+    step. The values of a map have one type, so what is sensitive under one key of it is taken
+    out of the values of all keys.
+    """
+    if isinstance(kind, T.ArrayType):
+        if not paths or _without(F.lit(None), kind.elementType, paths) is None:
+            return None if paths else value
+        return F.transform(value, lambda x: _without(x, kind.elementType, paths))
+    if isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+        named = sorted({p[0] for p in paths if len(p) == 1})
+        inner = [p[1:] for p in paths if len(p) > 1]
+        if inner and isinstance(kind.valueType, (T.StructType, T.MapType, T.ArrayType)):
+            if _without(F.lit(None), kind.valueType, inner) is None:
+                return None
+            value = F.transform_values(value, lambda k, v: _without(v, kind.valueType, inner))
+        return F.map_filter(value, lambda k, v: ~k.isin(named)) if named else value
+    if isinstance(kind, T.StructType):
+        kept = []
+        for f in kind.fields:
+            theirs = [p[1:] for p in paths if p[0] in ("*", f.name)]
+            if any(p == [f.name] for p in paths):
+                continue
+            inside = _without(value.getField(f.name), f.dataType, [p for p in theirs if p])
+            if inside is not None:
+                kept.append(inside.alias(f.name))
+        return F.when(value.isNotNull(), F.struct(*kept)) if kept else None
+    return value
 
 
 def redact(log: DataFrame, paths: tuple[str, ...] = SENSITIVE_PATHS) -> DataFrame:
-    """``log`` without the fields that ``paths`` name, at the top or inside structs."""
-    targets = {tuple(t) for path in paths for t in _targets(path, log.schema)}
-    kept = log.drop(*[t[0] for t in targets if len(t) == 1])
-    for top in {t[0] for t in targets if len(t) > 1} & set(kept.columns):
-        inner = sorted(".".join(t[1:]) for t in targets if len(t) > 1 and t[0] == top)
-        fields = {f.name for f in log.schema[top].dataType.fields}
-        if fields <= set(inner):
-            kept = kept.drop(top)
-        else:
-            kept = kept.withColumn(top, F.col(top).dropFields(*inner))
-    return kept
+    """``log`` without what ``paths`` name: columns, and inside them fields of structs and keys
+    of maps, also within arrays. A column of which nothing would be left is dropped."""
+    split = [p.split(".") for p in paths]
+    kept = []
+    for f in log.schema.fields:
+        if [f.name] in split:
+            continue
+        inner = [p[1:] for p in split if len(p) > 1 and p[0] in ("*", f.name)]
+        value = _without(log[f.name], f.dataType, inner) if inner else log[f.name]
+        if value is not None:
+            kept.append(value.alias(f.name))
+    return log.select(*kept)

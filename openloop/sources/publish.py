@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,29 +39,49 @@ def load_model(spark: SparkSession, csv_root: str, staging: str) -> AuditModel:
 
 
 def publish_model(model: AuditModel, root: str, version: str) -> str:
-    """Writes all tables under ``root/version`` and then names that version in ``root/current``.
-    Readers that go through :func:`current_model` see the old tables or the new, never a mix."""
+    """Writes all tables under ``root/version``, validates what was written and then names that
+    version in ``root/current``. Readers that go through :func:`current_model` see the old tables
+    or the new, never a mix. Versions order by name; one that is not greater than the current one
+    is refused, since it would never become current."""
     target = f"{root}/{version}"
+    spark = model.violation.sparkSession
+    newest = _current_version(spark, root)
+    if newest is not None and version < newest:
+        raise ValueError(f"version {version} is not greater than the current one, {newest}")
     for name, df in model.tables().items():
         df.write.mode("errorifexists").parquet(f"{target}/{name}")
-    spark = model.violation.sparkSession
+        _demand_valid(spark.read.parquet(f"{target}/{name}"), name)
+    require_pass(integrity_checks(AuditModel.from_parquet(spark, target)))
     note = spark.range(1).select(F.lit(json.dumps({"version": version})).alias("value"))
     note.coalesce(1).write.mode("append").text(f"{root}/current/{version}")
     return target
 
 
+def _current_version(spark: SparkSession, root: str) -> str | None:
+    """The greatest version named so far; None before the first."""
+    try:
+        notes = spark.read.option("recursiveFileLookup", "true").text(f"{root}/current")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return notes.agg(F.max(F.get_json_object("value", "$.version")).alias("v")).first()["v"]
+
+
 def current_model(spark: SparkSession, root: str) -> AuditModel:
-    """The version published last; versions order by name."""
-    notes = spark.read.option("recursiveFileLookup", "true").text(f"{root}/current")
-    newest = notes.agg(F.max(F.get_json_object("value", "$.version")).alias("v")).first()["v"]
-    return AuditModel.from_parquet(spark, f"{root}/{newest}")
+    """The version published last."""
+    return AuditModel.from_parquet(spark, f"{root}/{_current_version(spark, root)}")
 
 
-def save_by_document(violation: DataFrame, name: str, buckets: int) -> None:
+def save_by_document(violation: DataFrame, name: str, buckets: int, spread: int = 1) -> None:
     """Catalog table bucketed by document and sorted by (document, time): per-document windows
-    and joins on the document then need no shuffle."""
+    and joins on the document then need no shuffle. A bucket is written as at most ``spread``
+    files; more than one divides the writing of a document with very many findings."""
+    bucket = F.pmod(F.hash("document_ref_id"), F.lit(buckets))
+    part = F.pmod(F.xxhash64("detected_at"), F.lit(spread))
     (
-        violation.write.mode("overwrite")
+        violation.repartition(buckets * spread, bucket, part)
+        .write.mode("overwrite")
         .bucketBy(buckets, "document_ref_id")
         .sortBy("document_ref_id", "detected_at")
         .saveAsTable(name)

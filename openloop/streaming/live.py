@@ -5,12 +5,12 @@ Event times are ``timestamp`` columns; :func:`with_event_time` makes one from an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from openloop.functions.clock import DAY_US, epoch_micros
-from openloop.plans.quality import rule_counts
+from openloop.plans.quality import row_rule_counts
 from openloop.schemas import UNIQUE
 
 
@@ -123,12 +123,16 @@ def first_arrivals(
 
 def check_each_batch(findings: DataFrame, table: str, sink: str, checkpoint: str) -> StreamingQuery:
     """Runs the row rules of ``table`` on each micro-batch and appends the failures found, with
-    the batch number, to ``sink``. A batch that is run again replaces its own rows."""
+    the batch number, to ``sink/rows``; for each unique column set the values of the batch are
+    counted into ``sink/keys-N``, so that repeats across batches are found by
+    :func:`failures_so_far`. A batch that is run again replaces its own rows."""
 
     def check(batch: DataFrame, number: int) -> None:
-        rule_counts(batch, table).withColumn("batch", F.lit(number).cast("bigint")).write.mode(
-            "overwrite"
-        ).parquet(f"{sink}/run={number}")
+        numbered = row_rule_counts(batch, table).withColumn("batch", F.lit(number).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(f"{sink}/rows/run={number}")
+        for n, keys in enumerate(UNIQUE[table]):
+            counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            counts.write.mode("overwrite").parquet(f"{sink}/keys-{n}/run={number}")
 
     return (
         findings.writeStream.foreachBatch(check)
@@ -138,6 +142,18 @@ def check_each_batch(findings: DataFrame, table: str, sink: str, checkpoint: str
     )
 
 
+def failures_so_far(spark: SparkSession, table: str, sink: str) -> DataFrame:
+    """Failures per rule over all batches checked so far, however the input was cut into them."""
+    stored = spark.read.schema("rule string, failures bigint, batch bigint").parquet(f"{sink}/rows")
+    found = stored.groupBy("rule").agg(F.sum("failures").alias("failures"))
+    for n, keys in enumerate(UNIQUE[table]):
+        counts = spark.read.parquet(f"{sink}/keys-{n}").groupBy(*keys).agg(F.sum("n").alias("n"))
+        repeated = counts.filter(F.col("n") > 1).agg(F.count(F.lit(1)).alias("failures"))
+        rule = F.lit(f"({', '.join(keys)}) is not unique").alias("rule")
+        found = found.unionByName(repeated.filter("failures > 0").select(rule, "failures"))
+    return found
+
+
 def run_to_end(
     stream: DataFrame, sink: str, checkpoint: str, state_partitions: int | None = None
 ) -> DataFrame:

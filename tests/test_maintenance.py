@@ -57,6 +57,38 @@ def test_supersede(spark):
         maintenance.supersede_policy(after, "PII-1", when, successor(spark, "Z"))
 
 
+def test_supersede_refuses_what_the_schema_forbids(spark):
+    model = star(spark, FINDINGS)
+    when = F.lit(at(10))
+    good = successor(spark, "NEW")
+    refused = [
+        (F.lit(at(-1000)), good),
+        (when, good.union(good)),
+        (when, good.limit(0)),
+        (when, good.withColumn("severity", F.lit("nonsense"))),
+        (when, good.withColumn("title", F.lit(None).cast("string"))),
+    ]
+    for moment, new in refused:
+        with pytest.raises(maintenance.InvalidPolicy):
+            maintenance.supersede_policy(model.policy, "PII-1", moment, new)
+    twice = model.policy.union(model.policy.filter("policy_code = 'PII-1'"))
+    with pytest.raises(maintenance.InvalidPolicy, match="2 policies"):
+        maintenance.supersede_policy(twice, "PII-1", when, good)
+
+
+def test_adding_leaves_other_findings_where_they_are(spark):
+    model = star(spark, FINDINGS)
+    batch = frame(spark, "violation", [(12, 9, 1, 1, "ignored", "new", at(5))])
+    for mode in ("fail", "keep_first"):
+        added = maintenance.add_findings(model.violation, batch, mode)
+        untouched = added._jdf.queryExecution().executedPlan().toString().partition("Union")[2]
+        assert added.count() == 4
+        if mode == "fail":
+            assert "Exchange" not in untouched
+        else:
+            assert "BroadcastHashJoin" in untouched and "LeftAnti" in untouched
+
+
 def test_double_load(spark):
     model = star(spark, FINDINGS)
     batch = frame(

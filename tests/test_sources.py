@@ -140,8 +140,14 @@ def test_load_publish_and_read(spark, tmp_path):
         star(spark, FINDINGS[:1], policies=LADDER_POLICIES), root, "v002"
     )
     assert publish.current_model(spark, root).violation.count() == 1
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(ValueError, match="not greater"):
         publish.publish_model(loaded, root, "v001")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        publish.publish_model(loaded, root, "v002")
+    odd = star(spark, [(1, 1, "deleted", at(0))], policies=LADDER_POLICIES)
+    with pytest.raises(publish.InvalidTable, match="action_taken in set: 1"):
+        publish.publish_model(odd, root, "v003")
+    assert publish.current_model(spark, root).violation.first().action_taken == "flagged"
 
 
 def test_load_refuses_missing_parents(spark, tmp_path):

@@ -93,5 +93,31 @@ def test_each_batch_is_checked(spark, tmp_path):
     stream = arrive(spark, star(spark, rows), str(tmp_path), batches=3).drop("event_time")
     sink = str(tmp_path / "checks")
     live.check_each_batch(stream, "violation", sink, str(tmp_path / "p")).awaitTermination()
-    found = spark.read.parquet(sink).collect()
+    found = spark.read.parquet(f"{sink}/rows").collect()
     assert [(r.rule, r.failures, r.batch) for r in found] == [("action_taken in set", 1, 2)]
+
+
+def test_repeats_are_found_however_batches_are_cut(spark, tmp_path):
+    rows = findings()[:40] + findings()[10:30]
+    expected = None
+    for batches in (1, 2, 8):
+        place = tmp_path / str(batches)
+        stream = arrive(spark, star(spark, rows), str(place), batches).drop("event_time")
+        stream = stream.withColumn("scan_run_id", F.lit(1))
+        sink = str(place / "checks")
+        live.check_each_batch(stream, "violation", sink, str(place / "p")).awaitTermination()
+        found = {tuple(r) for r in live.failures_so_far(spark, "violation", sink).collect()}
+        assert any("not unique" in rule for rule, _ in found)
+        expected = expected or found
+        assert found == expected
+
+
+def test_a_stream_reads_files_and_folders_alike(spark, tmp_path):
+    from openloop.bindings.queries import QUERIES
+
+    source = "/root/testdata/sf0.001/events.parquet"
+    spark.read.parquet(source).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("t2_live_daily_counts", "t3_live_rule_counts"):
+        one = {tuple(r) for r in QUERIES[name](spark, "/root/testdata/sf0.001").collect()}
+        many = {tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        assert one and one == many

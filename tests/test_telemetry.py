@@ -69,6 +69,22 @@ def test_redaction(spark):
     assert row["deep"]["inner"]["password"] == "stays: two parents"
 
 
+def test_redaction_inside_maps_arrays_and_whole_structs(spark):
+    df = spark.createDataFrame(
+        [(1, {"authorization": "a", "accept": "x"}, [("p", "n")], ("a", "c"), {"k": ("p", 5)}, None)],
+        "id int, headers map<string,string>, db array<struct<password:string,name:string>>,"
+        " req struct<headers:struct<authorization:string,cookie:string>>,"
+        " pool map<string,struct<password:string,size:int>>, cfg struct<password:string,port:int>",
+    )
+    kept = telemetry.redact(df, (*telemetry.SENSITIVE_PATHS, "pool.*.password"))
+    assert kept.columns == ["id", "headers", "db", "pool", "cfg"]
+    row = kept.first().asDict(recursive=True)
+    assert row == {
+        "id": 1, "headers": {"accept": "x"}, "db": [{"name": "n"}], "pool": {"k": {"size": 5}}, "cfg": None,
+    }
+    assert kept.schema["cfg"].dataType.simpleString() == "struct<port:int>"
+
+
 def test_reads_json_lines(spark, tmp_path):
     (tmp_path / "log.json").write_text(
         '{"endpoint":"/a?x=1","route":"/a","status":200,"latency_ms":12,"rows":40}\n'
