@@ -71,7 +71,7 @@ def test_redaction(spark):
 
 def test_redaction_inside_maps_arrays_and_whole_structs(spark):
     df = spark.createDataFrame(
-        [(1, {"authorization": "a", "accept": "x"}, [("p", "n")], ("a", "c"), {"k": ("p", 5)}, None)],
+        [(1, {"authorization": "a", "accept": "x"}, [("p", "n")], (("a", "c"),), {"k": ("p", 5)}, None)],
         "id int, headers map<string,string>, db array<struct<password:string,name:string>>,"
         " req struct<headers:struct<authorization:string,cookie:string>>,"
         " pool map<string,struct<password:string,size:int>>, cfg struct<password:string,port:int>",
