@@ -32,6 +32,20 @@ LOOKAHEAD = 2
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
+class _Memo(dict):
+    """Token counts by pre-token; starts anew when it is full."""
+
+    def __init__(self, encoding: tiktoken.Encoding):
+        super().__init__()
+        self.encoding = encoding
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        found = self[piece] = len(self.encoding.encode_ordinary(piece))
+        return found
+
+
 class Counter:
     """Token counts of pre-tokens under a vocabulary given as the lines of its rank file."""
 
@@ -40,15 +54,8 @@ class Counter:
         merges = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
         self.cut = regex.compile(PATTERN)
-        self.memo: dict[str, int] = {}
-
-    def count(self, piece: str) -> int:
-        found = self.memo.get(piece)
-        if found is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            found = self.memo[piece] = len(self.encoding.encode_ordinary(piece))
-        return found
+        self.memo = _Memo(self.encoding)
+        self.count = self.memo.__getitem__
 
 
 class TokenTree:
@@ -70,14 +77,11 @@ class TokenTree:
 
     @classmethod
     def of(cls, text: str, counter: Counter) -> TokenTree:
-        chars, tokens = [], []
-        for n, piece in enumerate(counter.cut.finditer(text)):
-            if n % LEAF == 0:
-                chars.append(0)
-                tokens.append(0)
-            chars[-1] += piece.end() - piece.start()
-            tokens[-1] += counter.count(piece[0])
-        return cls(chars, tokens)
+        pieces = counter.cut.findall(text)
+        if not pieces:
+            return cls([], [])
+        pairs = np.array([list(map(len, pieces)), list(map(counter.count, pieces))])
+        return cls(*np.add.reduceat(pairs, range(0, len(pieces), LEAF), axis=1).tolist())
 
     @property
     def tokens(self) -> int:
