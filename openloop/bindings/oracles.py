@@ -232,6 +232,13 @@ SELECT l_linestatus, {between_ranks('cents', (1, 2))} AS p50,
        {between_ranks('cents', (9, 10))} AS p90, {between_ranks('cents', (19, 20))} AS p95
 FROM ranked GROUP BY 1"""
 
+ORACLES["a7_percentiles_wide_values"] = """
+WITH wide AS (
+    SELECT l_linestatus, ((l_orderkey * 1000003 + l_partkey) % 2147483647) * 2147483647
+                             + l_suppkey * 7919 + l_linenumber AS v
+    FROM lineitem)
+SELECT l_linestatus, min(v) AS smallest, max(v) AS largest FROM wide GROUP BY 1"""
+
 ORACLES["j5_never_closed_hot_keys"] = """
 WITH accepted AS (
     SELECT *, min(l_shipdate) FILTER (l_returnflag = 'A') OVER (

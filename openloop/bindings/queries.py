@@ -144,6 +144,21 @@ def a7_percentiles_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def a7_percentiles_wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles per line status of values spread over 62 bits, nearly all in chunks of their
+    own."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    high = (F.col("l_orderkey") * 1000003 + F.col("l_partkey")) % 2147483647
+    wide = high * 2147483647 + F.col("l_suppkey") * 7919 + F.col("l_linenumber")
+    return exact_percentiles(
+        lines.select("l_linestatus", wide.alias("wide")),
+        ["l_linestatus"],
+        "wide",
+        {"smallest": (0, 1), "largest": (1, 1)},
+    )
+
+
 @query
 def j5_never_closed_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned lines with no accepted line of the same status within an hour."""

@@ -30,7 +30,11 @@ def durable(df: DataFrame) -> DataFrame:
 
 def staged(df: DataFrame) -> DataFrame:
     """Like :func:`durable` for results that may be large: a Parquet table in the shared
-    folder, of which a later use reads the columns it needs."""
-    place = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    folder, of which a later use reads the columns it needs. It is removed when the application
+    ends."""
+    spark = df.sparkSession
+    place = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(place)
-    return df.sparkSession.read.schema(df.schema).parquet(place)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(place)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(place)
