@@ -73,3 +73,78 @@ SELECT page_id, payload_bytes, digest AS payload_digest,
        CASE WHEN page_id IS DISTINCT FROM last_id THEN last_id END AS refers_to
 FROM marked
 """
+
+ORACLES["op5_substring_dedup"] = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS list FROM documents
+),
+words AS (
+    SELECT doc_id, unnest(list) AS word, generate_subscripts(list, 1) AS place FROM texts
+),
+windows AS (
+    SELECT *, string_agg(word, ' ') OVER ahead AS passage, count(*) OVER ahead AS width
+    FROM words
+    WINDOW ahead AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+),
+marked AS (
+    SELECT *, CASE WHEN width = 20
+                   THEN row_number() OVER (PARTITION BY width, passage ORDER BY doc_id, place) > 1
+                   ELSE false END AS repeats
+    FROM windows
+),
+covered AS (
+    SELECT doc_id, word, place,
+           bool_or(repeats) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
+               AS gone
+    FROM marked
+),
+counted AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+           coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT gone), '') AS kept
+    FROM covered GROUP BY doc_id
+)
+SELECT doc_id, len(list)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN counted USING (doc_id)
+"""
+
+# A byte is two digits of the hex text; the digest of a window stands for its 200 digits.
+ORACLES["op3_suffix_array_dedup"] = r"""
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+),
+blocks AS (
+    SELECT doc_id, base, substr(digits, 2 * base + 1, 1198) AS part, least(500, length(digits) // 2 - base) AS n
+    FROM (SELECT doc_id, digits, unnest(range(0, length(digits) // 2, 500)) AS base FROM texts)
+),
+bytes AS (
+    SELECT doc_id, base, part, unnest(range(n)) AS inside FROM blocks
+),
+windows AS (
+    SELECT doc_id, base + inside AS place, substr(part, 2 * inside + 1, 2) AS pair,
+           CASE WHEN 2 * inside + 200 <= length(part) THEN md5_number(substr(part, 2 * inside + 1, 200)) END AS passage
+    FROM bytes
+),
+marked AS (
+    SELECT doc_id, place, pair,
+           passage IS NOT NULL AND row_number() OVER (PARTITION BY passage ORDER BY doc_id, place) > 1 AS repeats
+    FROM windows
+),
+covered AS (
+    SELECT doc_id, place, pair,
+           bool_or(repeats) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)
+               AS gone
+    FROM marked
+),
+edged AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY place), false) AS begins
+    FROM covered
+),
+counted AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+           coalesce(string_agg(pair, '' ORDER BY place) FILTER (NOT gone), '') AS kept
+    FROM edged GROUP BY doc_id
+)
+SELECT doc_id, length(digits) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM texts LEFT JOIN counted USING (doc_id)
+"""

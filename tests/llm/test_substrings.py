@@ -6,6 +6,7 @@ import random
 import __spark_entry__ as entry_points
 import numpy as np
 import pytest
+from compare import compare, duck
 
 from openloop.llm import recompression, suffixes
 
@@ -104,6 +105,12 @@ def test_query_against_every_window(spark, name, brute, spans):
     assert got == {d: v if spans else (v[0], v[1], v[3]) for d, v in by_id.items()}
 
 
+@pytest.mark.parametrize("name", ["op3_suffix_array_dedup", "op5_substring_dedup"])
+def test_query_matches_sql(spark, name):
+    result = entry_points.queries()[name](spark, SF_DIR)
+    assert compare(result, entry_points.oracle_sql()[name], duck(SF_DIR)) == []
+
+
 @pytest.mark.parametrize("letters, n", [(1, 400), (2, 900), (3, 2000), (250, 3000)])
 def test_suffix_array_in_order(letters, n):
     rng = np.random.default_rng(n)
