@@ -112,7 +112,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Trees | None:
     sizes = rows.groupBy("lang").count()
     share = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("count"))
     sizes = sizes.select("lang", (share * float(1 << 40)).cast("long").alias("most"))
-    picked = rows.join(sizes, "lang").where(F.pmod("h", F.lit(1 << 40)) < F.col("most")).select("lang", "text")
+    # One row per language, as the trees themselves have: bounded by what a task holds anyway.
+    picked = rows.join(F.broadcast(sizes), "lang").where(F.pmod("h", F.lit(1 << 40)) < F.col("most")).select("lang", "text")
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
