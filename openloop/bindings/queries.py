@@ -245,12 +245,13 @@ def s2_dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def s4_resolve_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order records matched by natural key with the customers in credit; others stay unknown."""
-    customer = star.table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
-    documents = customer.select(
+    """Order records matched by natural key with all customers. Those in debit go by another
+    name here, so their records stay unknown."""
+    renamed = F.when(F.col("c_acctbal") >= 0, F.col("c_name")).otherwise(F.concat("c_name", F.lit(" ")))
+    documents = star.table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("document_ref_id"),
         F.col("c_nationkey").alias("data_source_id"),
-        F.col("c_name").alias("external_document_id"),
+        renamed.alias("external_document_id"),
     )
     flat = records.star_columns(star.flat_records(spark, sf_dir))
     found, unknown = records.resolve_documents(flat, star.nations(spark, sf_dir), documents)
@@ -380,6 +381,13 @@ def k28_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.withColumn("broken", F.array_join("broken", "; "))
 
 
+@query
+def k28_quarantine_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts set aside by the rules of a policy: their codes repeat, some end before they begin."""
+    _, bad = quality.split_valid(star.parts(spark, sf_dir), "policy")
+    return bad.withColumn("broken", F.array_join("broken", "; "))
+
+
 @query
 def k31_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.readiness(star.trade_model(spark, sf_dir), TRADE_COUNTS)

@@ -40,6 +40,9 @@ BASELINE_REPORTS = {
 Line = tuple[str, str, int | None, Column]
 
 
+# The categories and names of checks in this module are output names.
+
+
 def _lines(df: DataFrame, lines: list[Line]) -> DataFrame:
     """Check rows out of one aggregate: category, name, expected, and the actual value as an
     aggregate over ``df``."""

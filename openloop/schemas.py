@@ -96,17 +96,17 @@ FOREIGN_KEYS = [
 # outcome is not a failure; NOT NULL is a rule of its own.
 ROW_RULES = {
     "policy": {
-        "severity in set": "severity IN ('low', 'medium', 'high', 'critical')",
+        "severity in set": f"severity IN {SEVERITIES}",
         "window is not empty": "effective_to IS NULL OR effective_to > effective_from",
     },
-    "data_source": {"env in set": "env IN ('dev', 'staging', 'prod')"},
+    "data_source": {"env in set": f"env IN {ENVIRONMENTS}"},
     "document_ref": {},
     "scan_run": {
         "duration is not negative": "finished_at IS NULL OR finished_at >= started_at",
         "documents_scanned is not negative": "documents_scanned >= 0",
     },
     "violation": {
-        "action_taken in set": "action_taken IN ('redacted', 'flagged', 'ignored', 'escalated')",
+        "action_taken in set": f"action_taken IN {ACTIONS}",
     },
 }
 

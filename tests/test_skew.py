@@ -11,9 +11,10 @@ from hypothesis import strategies as st
 from openloop.functions import sizing
 from openloop.functions.clock import DAY_US, MINUTE_US
 from openloop.operators.gaps import consecutive_gaps, gaps_of_small
-from openloop.operators.open_loops import never_closed, never_closed_by_window
+from openloop.operators.open_loops import never_closed
 from openloop.operators.percentiles import exact_percentiles
 from openloop.plans import reports
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 RELAXED = settings(
@@ -66,6 +67,14 @@ def test_percentiles_equal_interpolation(spark, pairs, chunk, few):
             assert row[name] == values[low] + int(np.rint(step))
 
 
+def never_closed_by_window(events, keys, us, width_us, opens, closes):
+    """The rows of never_closed from a range frame over each key; ``opens`` and ``closes`` name
+    boolean columns of ``events``."""
+    ahead = Window.partitionBy(*keys).orderBy(us).rangeBetween(Window.currentRow, width_us)
+    met = F.max(F.col(closes).cast("int")).over(ahead)
+    return events.withColumn("met", met).filter(F.col(opens) & (F.col("met") == 0)).drop("met")
+
+
 def brute_force(events, width):
     closers = [(k, us) for k, us, kind in events if kind == "close"]
     return sorted(
