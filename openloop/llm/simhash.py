@@ -64,6 +64,10 @@ def fingerprints(
     return rows.mapInArrow(run, f"id {kind}, fp long")
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _index(members: DataFrame, width: int) -> DataFrame:
     """One row per bucket that a member falls into. ``low`` is the first of the ``width`` bits
     that the member's bucket ``key`` leaves free."""
@@ -75,7 +79,9 @@ def _index(members: DataFrame, width: int) -> DataFrame:
             for h in (0, 1) for b in range(-1, half)
         ])
     )
-    cut = members.select("key", "fp", "low", slots.alias("slot")).select(
+    # Members are few and narrow, their buckets many: they are dealt out before they multiply.
+    dealt = members.repartition(_partitions(members), "fp")
+    cut = dealt.select("key", "fp", "low", slots.alias("slot")).select(
         "key", "fp", "slot", "low", (F.col("low") + F.col("slot.half") * half).alias("at")
     )
     part = F.expr(f"shiftright(fp, at) & {mask}L")
