@@ -129,11 +129,13 @@ def _slots(plan: DataFrame, mix: Mix) -> DataFrame:
     total = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
     shards = max(1, -(-total // mix.shard))
     step = 1 << 16
+    parts = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def counted(rows: DataFrame, column: str) -> DataFrame:
         """A row per number below ``column``, in two steps so that no task makes too many."""
         starts = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"{column} - 1"), F.lit(step).cast("long")))
-        rows = rows.where(F.col(column) > 0).withColumn("start", starts).repartition("rank", "start")
+        rows = rows.where(F.col(column) > 0).withColumn("start", starts)
+        rows = rows.repartition(parts, *rows.columns)
         ends = F.least(F.col("start") + step, F.col(column)) - 1
         return rows.withColumn("n", F.explode(F.sequence("start", ends))).drop("start")
 
