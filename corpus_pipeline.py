@@ -18,7 +18,7 @@ from openloop.llm.decontam import keep_clean  # noqa: E402
 from openloop.llm.exact import keep_first  # noqa: E402
 from openloop.llm.mixing import mix_sources  # noqa: E402
 from openloop.llm.quality_net import keep_good  # noqa: E402
-from openloop.llm.simhash import keep_one_per_component  # noqa: E402
+from openloop.llm.similar import keep_one_of_similar  # noqa: E402
 from openloop.llm.texts import table  # noqa: E402
 
 
@@ -33,8 +33,9 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id."""
-    return keep_one_per_component(docs)
+    """One document of each group of near copies (Jaccard similarity of five-word shingles 0.8 or
+    more) stays, the one with the smallest id."""
+    return keep_one_of_similar(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
