@@ -11,7 +11,9 @@ Of a window of 20 words the run round blurs one word at each end, the pair round
 more, so symbols that lie in words 4 to 15 are the window's own. One begins in any four words.
 The window chooses among those that begin at words 4 to 12 the longest, then the one with the
 smallest name, then the leftmost; its name and the eight words from its start are the key under
-which copies meet (see anchors). Windows that share a key are verified word by word.
+which copies meet (see anchors). Records whose whole
+contexts have equal keys and digests are repeats without a look at their words; where contexts
+under a key differ, windows are verified word by word (hot keys: by digests of the windows).
 """
 
 from __future__ import annotations
