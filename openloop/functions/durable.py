@@ -28,13 +28,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, *partitions: str) -> DataFrame:
     """Like :func:`durable` for results that may be large: a Parquet table in the shared
-    folder, of which a later use reads the columns it needs. It is removed when the application
-    ends."""
+    folder, of which a later use reads the columns it needs, and of a table stored by
+    ``partitions`` the folders it needs. It is removed when the application ends."""
     spark = df.sparkSession
     place = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(place)
+    df.write.parquet(place, partitionBy=list(partitions) or None)
     folder = spark._jvm.org.apache.hadoop.fs.Path(place)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(place)
