@@ -148,3 +148,153 @@ SELECT doc_id, length(digits) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_remov
        sha256(unhex(coalesce(kept, ''))) AS kept_sha256
 FROM texts LEFT JOIN counted USING (doc_id)
 """
+
+
+# CRC-32 of the sixteen half bytes.
+_CRC_OF_NIBBLES = """[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+    3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text, half a byte at a time."""
+    return f"""xor(4294967295, list_reduce(
+        list_transform(range(2 * strlen({text})),
+                       lambda i: instr('0123456789ABCDEF', substr(hex(encode({text})), 1 + xor(i, 1), 1))::BIGINT - 1),
+        lambda c, half: xor(c >> 4, {_CRC_OF_NIBBLES}[1 + (xor(c, half) & 15)]), 4294967295::BIGINT))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    fields = " || ".join(_field(f) for f in ("doc_id", "source", "lang", n_chars, "text"))
+    return f"sha256({fields})"
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE hashed AS (
+    SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+           CASE WHEN {_crc32("(doc_id::VARCHAR)")} % 7 = 0
+                THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS given
+    FROM documents
+),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+           count(*) OVER (PARTITION BY lang) AS n
+    FROM hashed
+),
+nodes AS (
+    SELECT 0 AS level, lang, place, n, leaf AS digest FROM leaves
+    UNION ALL
+    SELECT level + 1, lang, place // 2, (max(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+    FROM nodes WHERE n > 1 GROUP BY level, lang, place // 2
+),
+subroots AS (
+    SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+),
+tops AS (
+    SELECT 0 AS level, place, n, subroot AS digest FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, (max(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+    FROM tops WHERE n > 1 GROUP BY level, place // 2
+),
+lower_folds AS (
+    SELECT doc_id, lang, leaf, 0 AS level, place, n, given AS digest, '' AS proof FROM leaves
+    UNION ALL
+    SELECT f.doc_id, f.lang, f.leaf, f.level + 1, f.place // 2, (f.n + 1) // 2,
+           CASE WHEN f.place % 2 = 1 THEN sha256(s.digest || f.digest) ELSE sha256(f.digest || coalesce(s.digest, '')) END,
+           f.proof || coalesce(s.digest, '')
+    FROM lower_folds AS f
+    LEFT JOIN nodes AS s ON s.level = f.level AND s.lang IS NOT DISTINCT FROM f.lang AND s.place = xor(f.place, 1)
+    WHERE f.n > 1
+),
+upper_folds AS (
+    SELECT f.doc_id, f.leaf, s.subroot, 0 AS level, s.place, s.n, f.digest, f.proof
+    FROM lower_folds AS f JOIN subroots AS s ON s.lang IS NOT DISTINCT FROM f.lang
+    WHERE f.n = 1
+    UNION ALL
+    SELECT f.doc_id, f.leaf, f.subroot, f.level + 1, f.place // 2, (f.n + 1) // 2,
+           CASE WHEN f.place % 2 = 1 THEN sha256(s.digest || f.digest) ELSE sha256(f.digest || coalesce(s.digest, '')) END,
+           f.proof || coalesce(s.digest, '')
+    FROM upper_folds AS f LEFT JOIN tops AS s ON s.level = f.level AND s.place = xor(f.place, 1)
+    WHERE f.n > 1
+)
+SELECT f.doc_id, f.leaf, f.subroot, t.digest AS root, sha256(f.proof) AS proof_sha256, f.digest AS folded_root,
+       f.digest = t.digest AS verified
+FROM upper_folds AS f JOIN tops AS t ON t.n = 1
+WHERE f.n = 1
+"""
+
+ORACLES["op12_line_dedup"] = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS list FROM documents
+),
+lines AS (
+    SELECT row_id, doc_id, unnest(list) AS line, generate_subscripts(list, 1) AS place FROM texts
+),
+keyed AS (
+    SELECT *, regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS key
+    FROM lines
+),
+common AS (
+    SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row_id) >= 10
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (c.key IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (c.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common AS c USING (key)
+GROUP BY row_id
+"""
+
+# Near words share a word less one letter: less the letter at one place if they are equally long,
+# else the shorter one is the longer one less a letter.
+ORACLES["op13_spelling_variants"] = rf"""
+WITH RECURSIVE found AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents
+),
+runs AS (
+    SELECT doc_id, run, count(*) AS n FROM found WHERE length(run) >= 7 GROUP BY ALL
+),
+hashed AS (
+    SELECT run, n, {_crc32("concat(doc_id, ':', run)")} AS h FROM runs
+),
+edited AS (
+    SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed
+),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM edited WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+shortened AS (
+    SELECT word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS place FROM words)
+),
+pairs AS (
+    SELECT a.word, b.word AS other, b.n AS other_n
+    FROM shortened AS a JOIN shortened AS b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+    UNION
+    SELECT s.word, w.word, w.n FROM shortened AS s JOIN words AS w ON s.rest = w.word
+    UNION
+    SELECT w.word, s.word, s.n FROM shortened AS s JOIN words AS w ON s.rest = w.word
+),
+best AS (
+    SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n
+    FROM pairs GROUP BY word
+),
+formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form,
+           CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+),
+chains AS (
+    SELECT word, word AS root, form AS further FROM formed
+    UNION ALL
+    SELECT c.word, f.word, f.form FROM chains AS c JOIN formed AS f ON f.word = c.further
+)
+SELECT word, form, root, n, n_near, form_n
+FROM formed JOIN (SELECT word, root FROM chains WHERE further IS NULL) AS ends USING (word)
+"""

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from openloop.llm.decontam import contaminated
 from openloop.llm.exact import exact_dedup
 from openloop.llm.langid import identify
+from openloop.llm.lines import drop_common_lines
+from openloop.llm.merkle import manifest
 from openloop.llm.mixing import mix_sources
 from openloop.llm.quality_net import score_quality
 from openloop.llm.recompression import remove_repeated_passages
 from openloop.llm.simhash import simhash_components
+from openloop.llm.spelling import spelling_groups
 from openloop.llm.suffixes import remove_repeated_bytes
-from openloop.llm.texts import table
+from openloop.llm.texts import fold, table
 from openloop.llm.tokens import count_tokens
 from openloop.llm.warc import archived_pages
 
@@ -98,3 +101,23 @@ def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh document, by checksum of its id, is held against its proof with one more
+    character counted."""
+    tampered = F.when(fold("doc_id", 7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return manifest(table(spark, sf_dir, "documents"), given={"n_chars": tampered})
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_common_lines(table(spark, sf_dir, "documents"), least=10, shortest=1).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"), shortest=7, least=2, times=10)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +33,12 @@ def word_count(text: Column) -> Column:
 
 def text_bytes(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body looks at it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def ascii_lower(text: Column) -> Column:
+    return F.translate(text, ascii_uppercase, ascii_lowercase)
