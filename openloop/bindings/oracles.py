@@ -29,11 +29,9 @@ def between_ranks(value: str, share: tuple[int, int]) -> str:
     )
 
 
-SEVERITY = """CASE p_type WHEN 'PROMO' THEN 'critical' WHEN 'LARGE' THEN 'high'
-    WHEN 'STANDARD' THEN 'medium' WHEN 'MEDIUM' THEN 'medium' WHEN 'SMALL' THEN 'low'
-    ELSE 'unrated' END"""
-LADDER = """CASE severity WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2
-    WHEN 'low' THEN 1 END"""
+SEVERITY = """coalesce(MAP {'PROMO': 'critical', 'LARGE': 'high', 'STANDARD': 'medium',
+    'MEDIUM': 'medium', 'SMALL': 'low'}[p_type], 'unrated')"""
+LADDER = "nullif(coalesce(list_position(['low', 'medium', 'high', 'critical'], severity), 0), 0)"
 ENV = """CASE r_name WHEN 'AFRICA' THEN 'dev' WHEN 'AMERICA' THEN 'prod' WHEN 'ASIA' THEN 'prod'
     WHEN 'EUROPE' THEN 'staging' WHEN 'MIDDLE EAST' THEN 'test' END"""
 
@@ -113,22 +111,20 @@ FROM customer JOIN nation ON n_nationkey = c_nationkey"""
 
 ORACLES["q3_top_brands"] = f"""
 WITH {SOURCES},
-counts AS (
-    SELECT department, p_brand AS policy_code, p_type AS title, {SEVERITY} AS severity,
-           count(*) AS violations
+labelled AS (
+    SELECT department, p_brand AS policy_code, p_type AS title, {SEVERITY} AS severity
     FROM lineitem
-    JOIN part ON p_partkey = l_partkey
     JOIN supplier ON s_suppkey = l_suppkey
     JOIN sources ON data_source_id = s_nationkey
-    GROUP BY ALL),
-ranked AS (
-    SELECT *, rank() OVER (PARTITION BY department ORDER BY violations DESC,
-                           {LADDER} DESC NULLS FIRST, policy_code) AS rnk,
-           CAST(sum(violations) OVER (PARTITION BY department) AS BIGINT) AS everything
-    FROM counts)
-SELECT department, rnk, policy_code, severity, title, violations,
-       {half_up('100 * violations', 'everything')} AS pct_of_department
-FROM ranked WHERE rnk <= 3"""
+    JOIN part ON p_partkey = l_partkey)
+SELECT department, policy_code, severity, title, count(*) AS violations,
+       rank() OVER (PARTITION BY department
+                    ORDER BY count(*) DESC, {LADDER} DESC NULLS FIRST, policy_code) AS rnk,
+       {half_up('100 * count(*)', 'CAST(sum(count(*)) OVER (PARTITION BY department) AS BIGINT)')}
+           AS pct_of_department
+FROM labelled
+GROUP BY department, policy_code, severity, title
+QUALIFY rnk <= 3"""
 
 EVENT_RUNS = """runs AS (
     SELECT user_id, CAST(ts AS DATE) AS day, min(ts) AS started_at,
@@ -237,7 +233,14 @@ WITH wide AS (
     SELECT l_linestatus, ((l_orderkey * 1000003 + l_partkey) % 2147483647) * 2147483647
                              + l_suppkey * 7919 + l_linenumber AS v
     FROM lineitem)
-SELECT l_linestatus, min(v) AS smallest, max(v) AS largest FROM wide GROUP BY 1"""
+SELECT l_linestatus, min(v) AS smallest, PLACED_MIDDLE AS middle, PLACED_P90 AS p90, max(v) AS largest
+FROM (SELECT *, row_number() OVER (PARTITION BY l_linestatus ORDER BY v) AS rn,
+             count(*) OVER (PARTITION BY l_linestatus) AS n FROM wide) GROUP BY 1"""
+ORACLES["a7_percentiles_wide_values"] = (
+    ORACLES["a7_percentiles_wide_values"]
+    .replace("PLACED_MIDDLE", between_ranks("v", (1, 2)))
+    .replace("PLACED_P90", between_ranks("v", (9, 10)))
+)
 
 ORACLES["j5_never_closed_hot_keys"] = """
 WITH accepted AS (
@@ -345,10 +348,17 @@ findings AS (
 _BEFORE = """FROM findings
     WHERE detected_at < (SELECT max(d.first_seen_at) FROM documents_seen AS d
                          WHERE d.document_ref_id = findings.document_ref_id)"""
-_OUTSIDE = """FROM findings JOIN runs USING (scan_run_id)
-    WHERE detected_at < started_at OR (finished_at IS NOT NULL AND detected_at > finished_at)"""
-_OVERFULL = """FROM (SELECT scan_run_id, count(DISTINCT document_ref_id) AS documents
-                     FROM findings GROUP BY 1) JOIN runs USING (scan_run_id)
+_OUTSIDE = """FROM findings JOIN (
+        SELECT scan_run_id, min(started_at) AS opened,
+               coalesce(max(finished_at), TIMESTAMP 'infinity') AS closed
+        FROM runs GROUP BY 1) USING (scan_run_id)
+    WHERE NOT detected_at BETWEEN opened AND closed"""
+_OVERFULL = """FROM (
+        SELECT scan_run_id, max(place) AS documents FROM (
+            SELECT scan_run_id,
+                   dense_rank() OVER (PARTITION BY scan_run_id ORDER BY document_ref_id) AS place
+            FROM findings)
+        GROUP BY 1) JOIN runs USING (scan_run_id)
     WHERE documents > documents_scanned"""
 
 
@@ -675,6 +685,30 @@ SELECT month, severity, count(*) AS policies
 FROM months JOIN parts ON effective_from <= month AND (effective_to IS NULL OR month < effective_to)
 GROUP BY 1, 2"""
 
+ORACLES["p11_policies_at_findings"] = f"""
+WITH {PARTS},
+moments AS (SELECT DISTINCT l_shipdate AS at_time FROM lineitem),
+counted AS (
+    SELECT at_time, count(policy_id) AS n
+    FROM moments LEFT JOIN parts
+      ON effective_from <= at_time AND coalesce(effective_to > at_time, true)
+    GROUP BY at_time)
+SELECT l_orderkey, l_linenumber, n AS in_force FROM lineitem JOIN counted ON l_shipdate = at_time"""
+
+ORACLES["p11_own_policy_in_force"] = f"""
+WITH {PARTS}
+SELECT l_orderkey AS scan_run_id, l_linenumber AS line, policy_id, severity
+FROM lineitem JOIN parts
+  ON policy_id = l_partkey AND l_shipdate >= effective_from
+ AND coalesce(l_shipdate < effective_to, true)"""
+
+ORACLES["j9_first_run_after"] = """
+WITH starts AS (SELECT o_orderdate AS begun, min(o_orderkey) AS id FROM orders GROUP BY 1)
+SELECT l_orderkey AS flagged_in, l_linenumber AS line, epoch_us(l_shipdate) AS us,
+       id AS scan_run_id, epoch_us(begun) AS run_us, epoch_us(begun) - epoch_us(l_shipdate) AS wait_us
+FROM (SELECT * FROM lineitem WHERE l_returnflag = 'R') AS flagged
+ASOF LEFT JOIN starts ON l_shipdate < begun"""
+
 ORACLES["j9_eligible_runs"] = f"""
 WITH {EVENT_RUNS}
 SELECT event_id, ts AS flagged_at,
@@ -754,6 +788,60 @@ SELECT CAST(detected_at AS DATE) AS day, policy_id, action_taken, count(*) AS vi
 FROM findings
 WHERE CAST(detected_at AS DATE) BETWEEN DATE '1996-03-10' AND DATE '1997-02-20' GROUP BY ALL"""
 
+ORACLES["e4_rollup_after_changes"] = f"""
+WITH {TRADE}
+SELECT CAST(detected_at AS DATE) AS day, policy_id, action_taken, count(*) AS violations,
+       CAST(date_trunc('month', detected_at) AS DATE) AS month
+FROM findings
+WHERE scan_run_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')
+GROUP BY ALL"""
+
+ORACLES["q1_from_segments"] = ORACLES["q1_repeat_customers"]
+
+ORACLES["s10_gaps_of_layout"] = """
+WITH gaps AS (
+    SELECT l_suppkey, epoch_us(l_shipdate) - epoch_us(lag(l_shipdate) OVER (
+               PARTITION BY l_suppkey ORDER BY l_shipdate)) AS gap
+    FROM lineitem)
+SELECT l_suppkey AS document_ref_id, count(gap) AS gaps, CAST(sum(gap) AS BIGINT) AS span_us,
+       max(gap) AS longest_us
+FROM gaps GROUP BY 1 HAVING count(gap) > 0"""
+
+ORACLES["s9_statistics"] = "\nUNION ALL ".join(
+    f"SELECT '{table}' AS name, count(*) AS n_rows, true AS distinct_close FROM {table}"
+    for table in ("lineitem", "orders", "part", "events")
+)
+
+ORACLES["s3_publish_and_read"] = """
+WITH known AS (
+    SELECT *, MAP {'R': 'flagged', 'A': 'redacted', 'N': 'ignored'}[l_returnflag] AS action_taken
+    FROM lineitem
+    WHERE l_orderkey IN (SELECT o_orderkey FROM orders) AND l_partkey IN (SELECT p_partkey FROM part)
+      AND l_suppkey IN (SELECT s_suppkey FROM supplier)),
+first_of_grain AS (
+    SELECT * FROM known
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_suppkey, l_partkey
+                               ORDER BY l_linenumber, action_taken, l_linestatus, l_shipdate) = 1),
+first_of_line AS (
+    SELECT * FROM first_of_grain
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_suppkey, l_partkey, action_taken, l_linestatus, l_shipdate) = 1)
+SELECT l_suppkey AS document_ref_id, action_taken, count(*) AS n FROM first_of_line GROUP BY 1, 2"""
+
+_MONTHS_95_96 = "l_shipdate >= DATE '1995-01-01' AND l_shipdate < DATE '1997-01-01'"
+ORACLES["a14_documents_between"] = f"""
+SELECT p_brand AS policy_code, count(DISTINCT l_suppkey) AS documents
+FROM lineitem JOIN part ON p_partkey = l_partkey WHERE {_MONTHS_95_96} GROUP BY 1
+UNION ALL
+SELECT 'all', count(DISTINCT l_suppkey)
+FROM lineitem JOIN part ON p_partkey = l_partkey WHERE {_MONTHS_95_96}"""
+
+ORACLES["a8_sketch_ranks"] = f"""
+WITH {EVENT_RUNS}
+SELECT CAST(extract(hour FROM started_at) AS INTEGER) AS hour_utc, count(*) AS runs,
+       true AS median_within, true AS p95_within
+FROM runs WHERE finished_at IS NOT NULL GROUP BY 1"""
+
 ORACLES["e4_load_between"] = _running(
     "(SELECT l_shipdate FROM lineitem WHERE CAST(l_shipdate AS DATE)"
     " BETWEEN DATE '1996-03-10' AND DATE '1997-02-20')",
@@ -762,16 +850,12 @@ ORACLES["e4_load_between"] = _running(
 
 # Streams: the rows a stream has emitted once all given events have arrived ---------------------
 
-_SLOT = 2 * 86_400_000_000
 ORACLES["t1_live_unresolved"] = f"""
-WITH newest AS (SELECT max(ts) AS ts FROM events)
+WITH {NEXT_PURCHASE}
 SELECT f.event_id, f.user_id, f.ts AS flagged_at
-FROM events f, newest
-WHERE f.event_type = 'error'
-  AND NOT EXISTS (SELECT 1 FROM events r
-                  WHERE r.user_id = f.user_id AND r.event_type = 'purchase'
-                    AND r.ts >= f.ts AND r.ts <= f.ts + INTERVAL 2 DAY)
-  AND (epoch_us(f.ts) // {_SLOT} + 1) * {_SLOT} <= epoch_us(newest.ts) - {_SLOT} - 3600000000"""
+FROM next_purchase AS f, newest
+WHERE f.event_type = 'error' AND f.ts + INTERVAL 2 DAY <= newest.ts - INTERVAL 1 HOUR
+  AND coalesce(epoch_us(f.bought_at) - epoch_us(f.ts) > 172800000000, true)"""
 
 ORACLES["t2_live_daily_counts"] = """
 SELECT CAST(ts AS DATE) AS day, count(*) AS violations FROM events GROUP BY 1

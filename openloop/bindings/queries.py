@@ -5,23 +5,39 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from openloop.bindings import star
-from openloop.functions.clock import DAY_US, HOUR_US, day_of, epoch_micros, month_of, utc_day
-from openloop.functions.durable import shared_folder
+from openloop.functions.clock import (
+    DAY_US,
+    HOUR_US,
+    day_of,
+    epoch_micros,
+    month_of,
+    utc_day,
+    utc_hour,
+)
+from openloop.functions.durable import shared_folder, staged
 from openloop.functions.numbers import ratio
 from openloop.operators.calendar import calendar_spine, documents_in_existence
-from openloop.operators.gaps import consecutive_gaps
+from openloop.operators.gaps import consecutive_gaps, gaps_from_segments
 from openloop.operators.open_loops import never_closed
 from openloop.operators.percentiles import exact_percentiles
-from openloop.operators.validity import eligible_runs, policies_by_month, policies_in_force
+from openloop.operators.validity import (
+    eligible_runs,
+    first_run_after,
+    number_in_force,
+    policies_at,
+    policies_by_month,
+    policies_in_force,
+)
 from openloop.plans import maintenance, quality, reports, rollups, telemetry
 from openloop.sources import interchange, publish, records
-from openloop.streaming import live
+from openloop.streaming import deadlines, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,10 +171,101 @@ def a7_percentiles_wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.select("l_linestatus", wide.alias("wide")),
         ["l_linestatus"],
         "wide",
-        {"smallest": (0, 1), "largest": (1, 1)},
+        {"smallest": (0, 1), "middle": (1, 2), "p90": (9, 10), "largest": (1, 1)},
     )
 
 
+@query
+def a8_sketch_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of users per start hour: how many there are, and whether median and p95 duration
+    merged from stored daily sketches are off by no more of the ranks than the sketch allows."""
+    model, place = star.event_model(spark, sf_dir), _shared_place(spark, "sketches")
+    rollups.duration_sketches(model).write.parquet(place)
+    found = rollups.throughput_from_sketches(spark.read.parquet(place))
+    runs = model.scan_run.filter(F.col("finished_at").isNotNull())
+    start, end = epoch_micros(runs, "started_at"), epoch_micros(runs, "finished_at")
+    took = runs.select(utc_hour(start).alias("hour_utc"), (end - start).alias("took_us"))
+    rank = {n: found[f"{n}_duration_us"] for n in ("median", "p95")}
+    ranked = took.join(F.broadcast(found), "hour_utc").groupBy("hour_utc").agg(
+        F.count(F.lit(1)).alias("runs"),
+        *(F.count_if(F.col("took_us") < value).alias(f"{n}_below") for n, value in rank.items()),
+        *(F.count_if(F.col("took_us") <= value).alias(f"{n}_upto") for n, value in rank.items()),
+    )
+    # A stored value stands for all ranks of its equals; each merge rounds to a whole rank.
+    allowed = F.lit(rollups.rank_error()) * F.col("runs") + 1
+
+    def within(n: str, share: float) -> Column:
+        wanted = F.lit(share) * F.col("runs")
+        off = F.greatest(F.col(f"{n}_below") - wanted, wanted - F.col(f"{n}_upto"), F.lit(0.0))
+        return (off <= allowed).alias(f"{n}_within")
+
+    return ranked.select("hour_utc", "runs", within("median", 0.5), within("p95", 0.95))
+
+
+@query
+def q1_from_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeat offenders from stored segments of one customer and month each."""
+    model, place = star.customer_model(spark, sf_dir), _shared_place(spark, "segments")
+    reports.finding_segments(model).write.partitionBy("month").parquet(place)
+    return reports.repeat_offenders_of(spark.read.parquet(place), model)
+
+
+@query
+def s10_gaps_of_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps between the line items of each supplier, from a table bucketed by supplier and time."""
+    name = f"findings_{uuid.uuid4().hex}"
+    publish.save_by_document(star.line_findings(spark, sf_dir), name, 8)
+    segments = staged(publish.segments_of_layout(spark, name))
+    spark.sql(f"DROP TABLE {name}")
+    gaps = gaps_from_segments(segments, "document_ref_id", ["time_slice"])
+    return gaps.groupBy("document_ref_id").agg(
+        F.sum("n").alias("gaps"), F.sum(F.col("gap") * F.col("n")).alias("span_us"),
+        F.max("gap").alias("longest_us"),
+    )
+
+
+@query
+def s9_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of four tables read back from the catalog, and whether the distinct count of a
+    key that the catalog estimates lies within a tenth of the exact one."""
+    found = None
+    for table, key in (("lineitem", "l_suppkey"), ("orders", "o_custkey"), ("part", "p_brand"), ("events", "user_id")):
+        name, given = f"{table}_{uuid.uuid4().hex}", star.table(spark, sf_dir, table)
+        given.write.saveAsTable(name)
+        publish.refresh_statistics(spark, name)
+        rows, distinct = publish.stored_statistics(spark, name, key)
+        spark.sql(f"DROP TABLE {name}")
+        exact = F.count_distinct(key)
+        line = given.agg(
+            F.lit(table).alias("name"), F.lit(rows).cast("bigint").alias("n_rows"),
+            (F.abs(exact - F.lit(distinct)) <= exact / 10).alias("distinct_close"),
+        )
+        found = line if found is None else found.unionByName(line)
+    return found
+
+
+@query
+def s3_publish_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items per supplier of the model that was published last, of two versions."""
+    place, model = _shared_place(spark, "published"), star.publishable_model(spark, sf_dir)
+    half = F.col("violation_id") % 2 == 0
+    publish.publish_model(replace(model, violation=model.violation.filter(half)), place, "v1")
+    publish.publish_model(model, place, "v2")
+    found = publish.current_model(spark, place)
+    return found.violation.groupBy("document_ref_id", "action_taken").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def a14_documents_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with line items shipped from 1995 to 1996, per brand, from monthly bitmaps."""
+    place = _shared_place(spark, "bitmaps")
+    rollups.write_document_bitmaps(star.trade_model(spark, sf_dir), place)
+    first, last = dt.date(1995, 1, 1), dt.date(1996, 12, 1)
+    by_brand = rollups.documents_between(spark, place, first, last, ["policy_code"])
+    over_all = rollups.documents_between(spark, place, first, last)
+    return by_brand.unionByName(over_all.withColumn("policy_code", F.lit("all")))
+
+
 @query
 def j5_never_closed_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned lines with no accepted line of the same status within an hour."""
@@ -238,9 +345,9 @@ def s2_dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey",
         "l_suppkey",
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
+        F.col("_metadata.row_index").alias("row_index"),
     )
-    return interchange.number_rows(rows, "violation_id")
+    return interchange.number_stored_rows(rows, "violation_id")
 
 
 @query
@@ -573,6 +680,37 @@ def p11_policies_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.groupBy("month", "severity").agg(F.count(F.lit(1)).alias("policies"))
 
 
+@query
+def p11_policies_at_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each line item the number of policies in force when it was shipped."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    lines = lines.select("l_orderkey", "l_linenumber", epoch_micros(lines, "l_shipdate").alias("us"))
+    return number_in_force(lines, "us", star.parts(spark, sf_dir)).drop("us")
+
+
+@query
+def p11_own_policy_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items whose own part was in force when they were shipped."""
+    facts = star.line_findings(spark, sf_dir)
+    facts = facts.select(
+        "scan_run_id", "line", "policy_id", epoch_micros(facts, "detected_at").alias("us")
+    )
+    found = policies_at(facts, "us", star.parts(spark, sf_dir), {"policy_id": "policy_id"})
+    return found.select("scan_run_id", "line", "policy_id", "severity")
+
+
+@query
+def j9_first_run_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each returned line item the first order placed after it was shipped. Many orders are
+    placed at one instant, and after the last order there is none."""
+    facts = star.line_findings(spark, sf_dir)
+    facts = facts.filter(F.col("action_taken") == "R")
+    flags = facts.select(
+        F.col("scan_run_id").alias("flagged_in"), "line", epoch_micros(facts, "detected_at").alias("us")
+    )
+    return first_run_after(flags, "us", star.order_runs(spark, sf_dir))
+
+
 @query
 def j9_eligible_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors with the number of user-day runs that start within the next two days."""
@@ -625,6 +763,20 @@ def e4_rollup_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.read_rollup(spark, place, dt.date(1996, 3, 10), dt.date(1997, 2, 20))
 
 
+@query
+def e4_rollup_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rollup of the line items shipped before June 1998, after the later ones were added and
+    all urgent orders retracted."""
+    model = star.trade_model(spark, sf_dir)
+    facts, place = model.violation, _shared_place(spark, "rollup")
+    late = F.col("detected_at") >= F.expr("timestamp_ntz'1998-06-01 00:00:00'")
+    rollups.write_rollup(replace(model, violation=facts.filter(~late)), place)
+    rollups.change_rollup(spark, place, 1, added=facts.filter(late))
+    ids = model.scan_run.filter(F.col("agent_version") == "1-URGENT")
+    rollups.change_rollup(spark, place, 2, retracted=maintenance.findings_of_runs(facts, ids))
+    return rollups.read_rollup(spark, place)
+
+
 @query
 def e4_load_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = star.trade_model(spark, sf_dir)
@@ -658,16 +810,16 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.with_event_time(arriving, "ts")
 
 
-def _drain(stream: DataFrame) -> DataFrame:
-    place = f"{shared_folder(stream.sparkSession)}/live-{uuid.uuid4().hex}"
+def _drain(stream: DataFrame, state_store: str | None = None) -> DataFrame:
+    place = _shared_place(stream.sparkSession, "live")
     cores = stream.sparkSession.sparkContext.defaultParallelism
-    return live.run_to_end(stream, f"{place}/rows", f"{place}/progress", state_partitions=cores)
+    return live.run_to_end(stream, f"{place}/rows", f"{place}/progress", cores, state_store)
 
 
 @query
 def t1_live_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors without a purchase in two days, emitted by a stream as their slots become final."""
-    stream = live.never_closed_live(
+    """Errors without a purchase in two days, emitted by a stream at the end of the two days."""
+    stream = deadlines.never_closed_live(
         _event_stream(spark, sf_dir),
         ["user_id"],
         F.col("event_type") == "error",
@@ -675,7 +827,8 @@ def t1_live_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
         days=2,
         lateness_hours=1,
     )
-    return _drain(stream.select("event_id", "user_id", F.col("ts").alias("flagged_at")))
+    flags = stream.select("event_id", "user_id", F.col("ts").alias("flagged_at"))
+    return _drain(flags, deadlines.STATE_STORE)
 
 
 @query

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from openloop.functions.clock import epoch_micros, utc_day
 from openloop.model import AuditModel
+from openloop.plans.maintenance import first_per_grain
+from openloop.schemas import ENVIRONMENTS, SEVERITIES
 
 # Severity given to each part type. ECONOMY stands outside the ladder.
 SEVERITY_OF_TYPE = {
@@ -21,6 +23,8 @@ SEVERITY_OF_TYPE = {
     "SMALL": "low",
     "ECONOMY": "unrated",
 }
+# Action given to each return flag where the declared schema is asked for.
+ACTION_OF_FLAG = {"R": "flagged", "A": "redacted", "N": "ignored"}
 # Environment given to each region.
 ENV_OF_REGION = {
     "AFRICA": "dev",
@@ -141,6 +145,37 @@ def trade_model(spark: SparkSession, sf_dir: str, code: str = "p_brand") -> Audi
     )
 
 
+def publishable_model(spark: SparkSession, sf_dir: str) -> AuditModel:
+    """The trade tables under the rules of the declared schema: values from its closed sets, codes
+    of their own, and the first line item of each (order, supplier, part), and of each (order, line),
+    with known parents."""
+    policy = parts(spark, sf_dir).withColumns({
+        "policy_code": F.concat(F.lit("P-"), F.col("policy_id").cast("string")),
+        "severity": F.when(F.col("severity").isin(*SEVERITIES), F.col("severity")).otherwise("low"),
+        "effective_to": F.when(F.col("effective_to") > F.col("effective_from"), F.col("effective_to")),
+    })
+    sources = nations(spark, sf_dir)
+    env = F.when(F.col("env").isin(*ENVIRONMENTS), F.col("env")).otherwise("dev")
+    action = F.create_map(*(F.lit(x) for pair in ACTION_OF_FLAG.items() for x in pair))
+    findings = line_findings(spark, sf_dir)
+    for parent, key in ((order_runs, "scan_run_id"), (suppliers, "document_ref_id"), (parts, "policy_id")):
+        findings = findings.join(parent(spark, sf_dir).select(key), key, "left_semi")
+    findings = findings.select(
+        (F.col("scan_run_id") * 8 + F.col("line")).alias("violation_id"), "scan_run_id", "document_ref_id",
+        "policy_id", action[F.col("action_taken")].alias("action_taken"), "reason", "detected_at",
+    )
+    rest = ["action_taken", "reason", "detected_at"]
+    grain = ["scan_run_id", "document_ref_id", "policy_id"]
+    findings = first_per_grain(findings, grain, ["violation_id", *rest])
+    return AuditModel(
+        policy=policy,
+        data_source=sources.withColumn("env", env),
+        document_ref=suppliers(spark, sf_dir),
+        scan_run=order_runs(spark, sf_dir),
+        violation=first_per_grain(findings, ["violation_id"], [*grain[1:], *rest]),
+    )
+
+
 def customer_model(spark: SparkSession, sf_dir: str) -> AuditModel:
     """document = customer, finding = order."""
     return AuditModel(

@@ -58,3 +58,50 @@ def consecutive_gaps(events: DataFrame, key: str, us: str) -> DataFrame:
         F.least("n", F.lit(1).cast("bigint")).alias("n"),
     )
     return inside.unionByName(across).filter(F.col("gap").isNotNull() & (F.col("n") > 0))
+
+
+def gap_segments(events: DataFrame, key: str, us: str, segment: list[str]) -> DataFrame:
+    """A mergeable summary of the events of each ``key`` and ``segment``: (key, segment columns,
+    first_us, last_us, n, gaps), where ``gaps`` lists (gap, n), the gaps between neighbours inside
+    the segment and how often each occurs.
+
+    Segments must follow one another in time: no event of a later one comes before an event of
+    an earlier one (equal instants may be divided). On a table that is bucketed by key and
+    segment the events stay where they are.
+    """
+    inside = Window.partitionBy(key, *segment).orderBy(us)
+    near = events.filter(F.col(us).isNotNull()).select(
+        key, *segment, us, (F.col(us) - F.lag(us).over(inside)).alias("gap")
+    )
+    folded = near.groupBy(key, *segment, "gap").agg(
+        F.count(F.lit(1)).alias("n"), F.min(us).alias("first_us"), F.max(us).alias("last_us")
+    )
+    entry = F.when(F.col("gap").isNotNull(), F.struct("gap", "n"))
+    return folded.groupBy(key, *segment).agg(
+        F.min("first_us").alias("first_us"),
+        F.max("last_us").alias("last_us"),
+        F.sum("n").alias("n"),
+        F.collect_list(entry).alias("gaps"),
+    )
+
+
+def gaps_from_segments(segments: DataFrame, key: str, segment: list[str]) -> DataFrame:
+    """The gaps of :func:`consecutive_gaps`, as (key, gap, n), from stored segments: those inside
+    them and those across each border, from the last event before it to the first one after."""
+    inside = segments.select(key, F.inline("gaps").alias("gap", "n"))
+    in_order = Window.partitionBy(key).orderBy("first_us", "last_us", *segment)
+    across = segments.select(
+        key,
+        (F.col("first_us") - F.lag("last_us").over(in_order)).alias("gap"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+    return inside.unionByName(across.filter(F.col("gap").isNotNull()))
+
+
+def counts_from_segments(segments: DataFrame, key: str) -> DataFrame:
+    """(key, violation_count, first_us, last_us) from stored segments."""
+    return segments.groupBy(key).agg(
+        F.sum("n").alias("violation_count"),
+        F.min("first_us").alias("first_us"),
+        F.max("last_us").alias("last_us"),
+    )

@@ -43,8 +43,10 @@ def exact_percentiles(
 
     ``few_distinct`` says that the distinct values of one key are known to fit a task that
     sorts them with spilling (tens of millions); chunks are then left out. ``few_keys`` says
-    that the keys come from a small closed set, such as hours of the day; the chunks to open,
-    two per key and share at most, are then broadcast and the counts stay where they are.
+    that the keys come from a small closed set, such as hours of the day, and that their values
+    span tens of millions of chunks at most (durations of up to a year do); the chunks to open, two per
+    key and share at most, are then broadcast, the counts stay where they are, and ranges are left
+    out.
     """
     size = F.sum(weight) if weight else F.count(F.lit(1))
     counts = values.groupBy(*keys, value).agg(size.alias("n")).filter(F.col(value).isNotNull())
@@ -104,6 +106,12 @@ def _ranked_in_chunks(
 
     upto_here = (Window.unboundedPreceding, Window.currentRow)
     chunks = counts.groupBy(*keys, "chunk").agg(F.sum("n").alias("n"))
+    if few_keys:
+        in_order = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(*upto_here)
+        upto = F.sum("n").over(in_order)
+        total = F.sum("n").over(Window.partitionBy(*keys)).alias("total")
+        chunks = chunks.select(*keys, "chunk", (upto - F.col("n")).alias("before"), upto.alias("upto"), total)
+        return _opened(counts, chunks, keys, value, shares, few_keys)
     chunks = chunks.withColumn("range", slot_of(F.col("chunk"), chunk))
     by_range = Window.partitionBy(*keys).orderBy("range").rowsBetween(*upto_here)
     ranges = (
@@ -121,7 +129,17 @@ def _ranked_in_chunks(
     chunks = chunks.join(ranges, [*keys, "range"]).select(
         *keys, "chunk", (upto - F.col("n")).alias("before"), upto.alias("upto"), "total"
     )
+    return _opened(counts, chunks, keys, value, shares, few_keys)
 
+
+def _opened(
+    counts: DataFrame,
+    chunks: DataFrame,
+    keys: list[str],
+    value: str,
+    shares: dict[str, tuple[int, int]],
+    few_keys: bool,
+) -> DataFrame:
     wanted = F.lit(False)
     for share in shares.values():
         for rank in (_lower_rank(share, F.col("total")), _upper_rank(share, F.col("total"))):

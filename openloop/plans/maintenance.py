@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from openloop.functions.sizing import keep_matching
+from openloop.functions.durable import staged
+from openloop.functions.sizing import hinted, keep_matching
 from openloop.schemas import SEVERITIES, SURROGATE, UNIQUE
 
 GRAIN = list(UNIQUE["violation"][0])
@@ -15,14 +16,19 @@ def retract_runs(
     violation: DataFrame, scan_run: DataFrame, ids: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """Findings and runs left after the runs in ``ids`` (column ``scan_run_id``) are retracted.
-    A retracted run takes its findings with it."""
-    ids = ids.select("scan_run_id")
+    A retracted run takes its findings with it. The ids are stored once for both."""
+    gone = hinted(staged(ids.select("scan_run_id").distinct()))
     return (
-        keep_matching(violation, ids, "left_anti"),
-        keep_matching(scan_run, ids, "left_anti"),
+        violation.join(gone, "scan_run_id", "left_anti").select(*violation.columns),
+        scan_run.join(gone, "scan_run_id", "left_anti").select(*scan_run.columns),
     )
 
 
+def findings_of_runs(violation: DataFrame, ids: DataFrame) -> DataFrame:
+    """The findings that a retraction of the runs in ``ids`` takes away."""
+    return keep_matching(violation, ids.select("scan_run_id"))
+
+
 def still_referenced(ids: DataFrame, child: DataFrame, key: str) -> DataFrame:
     """The keys in ``ids`` that ``child`` refers to, with the number of referring rows."""
     uses = keep_matching(child.select(key), ids.select(key))

@@ -23,7 +23,13 @@ from openloop.functions.durable import durable, staged
 from openloop.functions.numbers import percent, ratio, severity_rank
 from openloop.functions.sizing import MOST_BROADCAST_ROWS, is_small
 from openloop.model import AuditModel
-from openloop.operators.gaps import consecutive_gaps, gaps_of_small
+from openloop.operators.gaps import (
+    consecutive_gaps,
+    counts_from_segments,
+    gap_segments,
+    gaps_from_segments,
+    gaps_of_small,
+)
 from openloop.operators.open_loops import never_closed
 from openloop.operators.percentiles import exact_percentiles
 
@@ -76,48 +82,65 @@ def entity_gaps(
     add up to at most its time span, so there are at most sqrt(2 x span) of them, 25 million
     for a decade of microseconds.
     """
-    counted = staged(
-        events.groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("violation_count"),
-            F.min(us).alias("first_us"),
-            F.max(us).alias("last_us"),
-        )
-        .filter(F.col("violation_count") >= 2)
+    counted = events.groupBy(key).agg(
+        F.count(F.lit(1)).alias("violation_count"),
+        F.min(us).alias("first_us"),
+        F.max(us).alias("last_us"),
     )
-    if label is not None:
-        counted = counted.join(label, key)
+    leading = _leading(counted, key, label, limit)
+    return _with_gaps(leading, _leading_gaps(events.select(key, us), key, us, leading), key)
+
+
+def _leading(counted: DataFrame, key: str, label: DataFrame | None, limit: int) -> DataFrame:
+    counted = staged(counted.filter(F.col("violation_count") >= 2))
+    known = counted if label is None else counted.join(label.select(key), key, "left_semi")
     cutoff = (
-        counted.select("violation_count")
+        known.select("violation_count")
         .orderBy(F.desc("violation_count"))
         .limit(limit)
         .agg(F.min("violation_count").alias("least"))
     )
-    leading = durable(counted.filter(F.col("violation_count") >= cutoff.scalar()))
-    gaps = exact_percentiles(
-        _leading_gaps(events.select(key, us), key, us, leading),
+    leading = counted.filter(F.col("violation_count") >= cutoff.scalar())
+    return durable(leading if label is None else leading.join(label, key))
+
+
+def _with_gaps(leading: DataFrame, gaps: DataFrame, key: str) -> DataFrame:
+    found = exact_percentiles(
+        gaps,
         [key],
         "gap",
         {"median_gap_us": MEDIAN, "p90_gap_us": P90},
         weight="n",
         few_distinct=True,
     )
-    return leading.join(gaps, key)
+    return leading.join(found, key)
 
 
-def repeat_offenders(model: AuditModel, limit: int = 40) -> DataFrame:
-    """Documents that offend again and again, with the typical gap between two findings."""
-    _bounded("limit", limit, 1, 500)
-    events = model.violation.select(
-        "document_ref_id", epoch_micros(model.violation, "detected_at").alias("us")
+def entity_gaps_of_segments(
+    segments: DataFrame,
+    key: str,
+    segment: list[str],
+    label: DataFrame | None = None,
+    limit: int = 40,
+) -> DataFrame:
+    """:func:`entity_gaps` from stored segments (see :func:`openloop.operators.gaps.gap_segments`):
+    the events themselves are not read, so a new month costs what the new month holds."""
+    leading = _leading(counts_from_segments(segments, key), key, label, limit)
+    theirs = segments.join(leading.select(key), key, "left_semi")
+    return _with_gaps(leading, gaps_from_segments(theirs, key, segment), key)
+
+
+def _document_labels(model: AuditModel) -> DataFrame:
+    source = model.data_source.select(
+        "data_source_id", "department", F.col("name").alias("data_source")
     )
-    label = model.document_ref.select(
+    documents = model.document_ref.select(
         "document_ref_id", "data_source_id", "external_document_id"
-    ).join(
-        model.data_source.select("data_source_id", "department", F.col("name").alias("data_source")),
-        "data_source_id",
     )
-    found = entity_gaps(events, "document_ref_id", "us", label, limit)
+    return documents.join(source, "data_source_id")
+
+
+def _repeat_offenders(found: DataFrame, limit: int) -> DataFrame:
     return (
         found.orderBy(
             F.desc("violation_count"), F.asc_nulls_last("median_gap_us"), "external_document_id"
@@ -136,6 +159,36 @@ def repeat_offenders(model: AuditModel, limit: int = 40) -> DataFrame:
     )
 
 
+def repeat_offenders(model: AuditModel, limit: int = 40) -> DataFrame:
+    """Documents that offend again and again, with the typical gap between two findings."""
+    _bounded("limit", limit, 1, 500)
+    events = model.violation.select(
+        "document_ref_id", epoch_micros(model.violation, "detected_at").alias("us")
+    )
+    found = entity_gaps(events, "document_ref_id", "us", _document_labels(model), limit)
+    return _repeat_offenders(found, limit)
+
+
+def finding_segments(model: AuditModel) -> DataFrame:
+    """Findings folded to one segment per document and UTC month; see :func:`repeat_offenders_of`."""
+    facts = model.violation
+    events = facts.select(
+        "document_ref_id",
+        month_of(facts, "detected_at").alias("month"),
+        epoch_micros(facts, "detected_at").alias("us"),
+    )
+    return gap_segments(events, "document_ref_id", "us", ["month"])
+
+
+def repeat_offenders_of(segments: DataFrame, model: AuditModel, limit: int = 40) -> DataFrame:
+    """:func:`repeat_offenders` from stored segments of the findings."""
+    _bounded("limit", limit, 1, 500)
+    found = entity_gaps_of_segments(
+        segments, "document_ref_id", ["month"], _document_labels(model), limit
+    )
+    return _repeat_offenders(found, limit)
+
+
 def _labelled_counts(model: AuditModel, facts: DataFrame, labels: list[str], by: list[str]):
     """Counts of ``facts`` by department, the policy columns ``labels`` and the fact columns
     ``by``.
@@ -223,32 +276,27 @@ def top_policies(model: AuditModel, k: int = 3) -> DataFrame:
 
 def scan_throughput_micros(model: AuditModel) -> DataFrame:
     """Per UTC start hour of finished runs: volume, rate and duration percentiles in
-    microseconds. Runs are folded once, to their distinct durations per hour."""
+    microseconds. Totals fold to a row per hour in the scan tasks, durations to their distinct
+    values."""
     runs = model.scan_run.filter(F.col("finished_at").isNotNull())
     start, end = epoch_micros(runs, "started_at"), epoch_micros(runs, "finished_at")
     runs = runs.select(
         utc_hour(start).alias("hour_utc"), "documents_scanned", (end - start).alias("took_us")
     )
-    folded = runs.groupBy("hour_utc", "took_us").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("documents_scanned").alias("documents_scanned")
-    )
-    folded = staged(folded)
-    wide = "decimal(19,0)"
-    totals = folded.groupBy("hour_utc").agg(
-        F.sum("n").alias("runs"),
+    totals = runs.groupBy("hour_utc").agg(
+        F.count(F.lit(1)).alias("runs"),
         F.sum("documents_scanned").alias("documents_scanned"),
-        F.sum(F.col("took_us").cast(wide) * F.col("n").cast(wide)).alias("busy_us"),
+        F.sum(F.col("took_us").cast("decimal(19,0)")).alias("busy_us"),
         F.max("took_us").alias("max_duration_us"),
     )
     spread = exact_percentiles(
-        folded.select("hour_utc", "took_us", "n"),
+        runs.select("hour_utc", "took_us"),
         ["hour_utc"],
         "took_us",
         {"median_duration_us": MEDIAN, "p95_duration_us": P95},
-        weight="n",
         few_keys=True,
     )
-    busy = F.nullif(F.col("busy_us"), F.lit(0).cast("decimal(38,0)"))
+    busy = F.nullif(F.col("busy_us"), F.lit(0).cast("decimal(29,0)"))
     scanned = F.col("documents_scanned").cast("decimal(19,0)") * F.lit(HOUR_US)
     return totals.join(spread, "hour_utc").select(
         "hour_utc",
@@ -379,22 +427,28 @@ def cumulative_load(model: AuditModel) -> DataFrame:
     return with_running_load(daily_counts(model)).orderBy("day")
 
 
+def _known_documents(model: AuditModel) -> DataFrame:
+    """(document_ref_id), as often as a report would repeat a row of that document."""
+    source = model.data_source.select("data_source_id")
+    owned = model.document_ref.select("document_ref_id", "data_source_id")
+    return owned.join(source, "data_source_id").select("document_ref_id")
+
+
 def _repeat_offender_rows(model: AuditModel, limit: int = 40) -> DataFrame:
-    known = model.document_ref.join(model.data_source, "data_source_id", "left_semi")
     counted = model.violation.groupBy("document_ref_id").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.filter(F.col("n") >= 2).join(known, "document_ref_id", "left_semi")
+    counted = counted.filter(F.col("n") >= 2).join(_known_documents(model), "document_ref_id")
     return counted.limit(limit)
 
 
 def _throughput_rows(model: AuditModel) -> DataFrame:
     runs = model.scan_run.filter(F.col("finished_at").isNotNull())
-    return runs.select(utc_hour(epoch_micros(runs, "started_at")).alias("hour_utc")).distinct()
+    hours = runs.select(utc_hour(epoch_micros(runs, "started_at")).alias("hour_utc"))
+    return hours.filter("hour_utc IS NOT NULL").distinct()
 
 
 def _flagged_rows(model: AuditModel, days: int = 2) -> DataFrame:
-    known = model.document_ref.join(model.data_source, "data_source_id", "left_semi")
-    waiting = _waiting_flags(model, days).join(known, "document_ref_id", "left_semi")
-    return waiting.join(model.policy, "policy_id", "left_semi")
+    waiting = _waiting_flags(model, days).join(_known_documents(model), "document_ref_id")
+    return waiting.join(model.policy.select("policy_id"), "policy_id")
 
 
 @dataclass(frozen=True)

@@ -73,6 +73,26 @@ def number_rows(rows: DataFrame, key: str, kind: T.DataType = T.LongType()) -> D
     )
 
 
+def number_stored_rows(rows: DataFrame, key: str, kind: T.DataType = T.LongType()) -> DataFrame:
+    """Replaces ``file_path`` and ``row_index`` of Parquet rows by a dense key 1..N in file order.
+
+    A Parquet file knows the place of each of its rows, so nothing is stored but one row per file:
+    its length, from a pass over the two metadata columns that reads no data column. ``rows``
+    must hold whole files.
+    """
+    lengths = staged(rows.groupBy("file_path").agg((F.max("row_index") + 1).alias("n"), F.count(F.lit(1)).alias("seen")))
+    short = lengths.filter("n != seen").limit(1).collect()
+    if short:
+        raise ValueError(f"{short[0].file_path}: {short[0].seen} of {short[0].n} rows given")
+    in_order = Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = lengths.select("file_path", (F.sum("n").over(in_order) - F.col("n") + 1).alias("shift"))
+    numbered = rows.join(hinted(offsets), "file_path")
+    return numbered.select(
+        (F.col("row_index") + F.col("shift")).cast(kind).alias(key),
+        *[c for c in rows.columns if c not in ("file_path", "row_index")],
+    )
+
+
 def load_table(spark: SparkSession, path: str, table: str, multiline: bool = False) -> DataFrame:
     """A table with its surrogate key, as it would be after a load in file order."""
     key = SURROGATE[table]

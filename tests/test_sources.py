@@ -1,11 +1,13 @@
 """Interchange files, dense keys, records, publishing and layouts."""
 
 import glob
+import os
 
 import pytest
 from audit import at, frame, star
 from openloop import schemas
 from openloop.functions.clock import epoch_micros
+from openloop.operators.gaps import counts_from_segments, gap_segments, gaps_from_segments, gaps_of_small
 from openloop.plans.reports import REPORTS
 from openloop.sources import interchange, publish, records
 from pyspark.sql import functions as F
@@ -142,12 +144,42 @@ def test_load_publish_and_read(spark, tmp_path):
     assert publish.current_model(spark, root).violation.count() == 1
     with pytest.raises(ValueError, match="not greater"):
         publish.publish_model(loaded, root, "v001")
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(ValueError, match="not greater"):
         publish.publish_model(loaded, root, "v002")
     odd = star(spark, [(1, 1, "deleted", at(0))], policies=LADDER_POLICIES)
     with pytest.raises(publish.InvalidTable, match="action_taken in set: 1"):
         publish.publish_model(odd, root, "v003")
     assert publish.current_model(spark, root).violation.first().action_taken == "flagged"
+    # A version that failed leaves no folder, and its name can be used again.
+    assert len(os.listdir(f"{root}/versions")) == 2
+    publish.publish_model(loaded, root, "v003")
+    assert publish.current_model(spark, root).violation.count() == len(FINDINGS)
+
+
+def test_of_two_publishers_one_wins(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "published")
+    one = star(spark, FINDINGS[:1], policies=LADDER_POLICIES)
+    two = star(spark, FINDINGS, policies=LADDER_POLICIES)
+    publish.publish_model(one, root, "v1")
+    check = publish.require_pass
+
+    def meanwhile(checks):
+        """Another writer, which began after the same version, is done first."""
+        monkeypatch.setattr(publish, "require_pass", check)
+        publish.publish_model(two, root, "v3")
+        return check(checks)
+
+    monkeypatch.setattr(publish, "require_pass", meanwhile)
+    with pytest.raises(publish.PublishConflict, match="entry 2"):
+        publish.publish_model(one, root, "v2")
+    assert publish.current_model(spark, root).violation.count() == len(FINDINGS)
+    assert len(os.listdir(f"{root}/versions")) == 2
+    publish.publish_model(one, root, "v4")
+    assert publish.current_model(spark, root).violation.count() == 1
+    # An entry that its writer could not fill is told, not read as an older version.
+    open(f"{root}/log/{4:012d}.json", "w").close()
+    with pytest.raises(publish.PublishConflict, match="entry 4"):
+        publish.current_model(spark, root)
 
 
 def test_load_refuses_missing_parents(spark, tmp_path):
@@ -180,14 +212,66 @@ def test_bucketed_table_needs_no_shuffle(spark):
     publish.save_by_document(model.violation, "audit.violation", 4)
     publish.refresh_statistics(spark, "audit.violation")
     stored = type(model).from_catalog(spark, "audit")
-    counts = stored.violation.groupBy("document_ref_id").count()
-    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    segments = publish.segments_of_layout(spark, "audit.violation")
+    assert "Exchange" not in segments._jdf.queryExecution().executedPlan().toString()
     expected = REPORTS["flagged-never-actioned"].run(model).collect()
     assert REPORTS["flagged-never-actioned"].run(stored).collect() == expected
     described = spark.sql("DESCRIBE EXTENDED audit.violation").filter("col_name = 'Statistics'")
     assert "3 rows" in described.first().data_type
 
 
+def test_a_hot_document_is_spread_over_its_slices(spark):
+    rows = [(1, 1, "ignored", at(k % 400, 0, k)) for k in range(3000)] + [(2, 1, "ignored", at(k)) for k in range(40)]
+    facts = star(spark, rows).violation
+    publish.save_by_document(facts, "hot_findings", 16)
+    read = spark.table("hot_findings").filter("document_ref_id = 1").select(F.input_file_name().alias("file"))
+    assert read.distinct().count() >= 8
+    segments = publish.segments_of_layout(spark, "hot_findings")
+    found = gaps_from_segments(segments, "document_ref_id", ["time_slice"])
+    us = facts.select("document_ref_id", epoch_micros(facts, "detected_at").alias("us"))
+    expected = gaps_of_small(us, "document_ref_id", "us")
+
+    def folded(gaps):
+        return {tuple(r) for r in gaps.groupBy("document_ref_id", "gap").agg(F.sum("n")).collect()}
+
+    assert folded(found) == folded(expected)
+    spark.sql("DROP TABLE hot_findings")
+
+
+def test_segments_may_be_cut_anywhere(spark):
+    times = [0, 0, 0, 5, 5, 9, 30, 30, 31, 100]
+    expected = sorted(b - a for a, b in zip(times, times[1:]))
+    for cuts in ([], [1], [2, 3], [4], [1, 2, 5, 9], list(range(1, 10))):
+        rows = [(7, sum(k >= c for c in cuts), t) for k, t in enumerate(times)]
+        events = spark.createDataFrame([*rows, (8, 0, 4), (9, 0, None)], "doc int, seg int, us long")
+        segments = gap_segments(events, "doc", "us", ["seg"])
+        found = gaps_from_segments(segments, "doc", ["seg"]).collect()
+        assert sorted(r.gap for r in found for _ in range(r.n)) == expected and {r.doc for r in found} == {7}
+        counts = {tuple(r) for r in counts_from_segments(segments, "doc").collect()}
+        assert counts == {(7, 10, 0, 100), (8, 1, 4, 4)}
+
+
+def test_rows_of_stored_files_are_numbered(spark, tmp_path):
+    for k, n in enumerate((5, 0, 7, 1)):
+        spark.range(10 * k, 10 * k + n).coalesce(1).write.parquet(str(tmp_path / "in" / f"part={k}"))
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")).select(
+        "id", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index")
+    )
+    found = interchange.number_stored_rows(rows, "key").orderBy("key").collect()
+    assert [r.key for r in found] == list(range(1, 14))
+    assert [r.id for r in found] == [*range(5), *range(20, 27), 30]
+    with pytest.raises(ValueError, match="rows given"):
+        interchange.number_stored_rows(rows.filter("id != 22"), "key")
+
+
+def test_statistics_are_read_back(spark):
+    spark.range(30).selectExpr("id % 3 AS k").write.mode("overwrite").saveAsTable("counted")
+    assert publish.stored_statistics(spark, "counted", "k") == (None, None)
+    publish.refresh_statistics(spark, "counted")
+    assert publish.stored_statistics(spark, "counted", "k") == (30, 3)
+    spark.sql("DROP TABLE counted")
+
+
 def test_result_envelope(spark, tmp_path):
     model = star(spark, FINDINGS)
     rows = REPORTS["cumulative-load"].run(model)

@@ -6,7 +6,7 @@ from audit import START, at, star
 from openloop.functions.clock import DAY_US, epoch_micros
 from openloop.plans.reports import daily_counts, open_findings
 from openloop.schemas import VIOLATION
-from openloop.streaming import live
+from openloop.streaming import deadlines, live
 from pyspark.sql import functions as F
 
 KEYS = ["document_ref_id", "policy_id"]
@@ -36,28 +36,48 @@ def arrive(spark, model, path, batches=8):
 
 
 def test_live_flags_equal_the_batch_report(spark, tmp_path):
+    """Every flag is there whose two days have passed an hour before the newest event."""
     model = star(spark, findings())
     stream = arrive(spark, model, str(tmp_path))
     opens = F.col("action_taken") == "flagged"
     closes = F.col("action_taken").isin("redacted", "escalated")
+    facts = model.violation.withColumn("us", epoch_micros(model.violation, "detected_at"))
+    newest = facts.agg(F.max("us")).first()[0]
+    batch = open_findings(facts, KEYS, "us", 2, opens, closes)
+    final = batch.filter(F.col("us") + 2 * DAY_US < newest - 3_600_000_000).select(VIOLATION.names)
+    expected = sorted(final.collect())
+    assert len(expected) > 10
     for spread in (1, 4):
         place = tmp_path / f"s{spread}"
+        live_flags = deadlines.never_closed_live(stream, KEYS, opens, closes, days=2, spread=spread)
         found = live.run_to_end(
-            live.never_closed_live(stream, KEYS, opens, closes, days=2, spread=spread),
-            str(place / "rows"),
-            str(place / "progress"),
+            live_flags, str(place / "rows"), str(place / "progress"), 3, deadlines.STATE_STORE
         )
-        us = epoch_micros(model.violation, "detected_at")
-        facts = model.violation.withColumn("us", us)
-        newest = facts.agg(F.max("us")).first()[0]
-        slot = 2 * DAY_US
-        batch = open_findings(facts, KEYS, "us", 2, opens, closes)
-        final = batch.filter(
-            (F.floor(F.col("us") / slot) + 1) * slot <= newest - slot - 3_600_000_000
+        assert found.columns == stream.columns
+        assert sorted(found.select(VIOLATION.names).collect()) == expected
+
+
+def test_a_flag_waits_for_its_own_deadline_only(spark, tmp_path):
+    """Late events, equal instants and null keys; what is emitted after each batch."""
+    batches = [
+        [(1, "flagged", at(0)), (1, "flagged", at(0)), (2, "flagged", at(0, 1)), (None, "flagged", at(0, 2))],
+        [(1, "redacted", at(0, -1)), (2, "redacted", at(2, 1)), (3, "flagged", at(1))],
+        [(9, "ignored", at(2, 2))],
+        [(4, "flagged", at(2, 1, 500)), (3, "escalated", at(2, 23, 999)), (9, "ignored", at(3, 2))],
+        [(9, "ignored", at(6))],
+    ]
+    due = [[], [], [1, 1], [1, 1, None], [1, 1, None, 4]]
+    opens = F.col("action_taken") == "flagged"
+    closes = F.col("action_taken").isin("redacted", "escalated")
+    schema = "document_ref_id long, action_taken string, detected_at timestamp"
+    for k, (rows, expected) in enumerate(zip(batches, due)):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"b={k}"))
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+        flags = deadlines.never_closed_live(
+            live.with_event_time(stream, "detected_at"), ["document_ref_id"], opens, closes
         )
-        expected = sorted(r.violation_id for r in final.collect())
-        assert len(expected) > 10
-        assert sorted(r.violation_id for r in found.collect()) == expected
+        found = live.run_to_end(flags, str(tmp_path / "rows"), str(tmp_path / "p"), 2, deadlines.STATE_STORE)
+        assert sorted((r.document_ref_id for r in found.collect()), key=str) == sorted(expected, key=str), k
 
 
 def test_live_days_equal_the_batch_counts(spark, tmp_path):
@@ -121,3 +141,26 @@ def test_a_stream_reads_files_and_folders_alike(spark, tmp_path):
         one = {tuple(r) for r in QUERIES[name](spark, "/root/testdata/sf0.001").collect()}
         many = {tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()}
         assert one and one == many
+
+
+def test_key_counts_keep_few_runs(spark, tmp_path):
+    place = str(tmp_path / "keys")
+    assert live.key_counts(spark, ["k"], place) is None
+    total = {}
+    for number in range(50):
+        keys = [k for k in range(12) if (k + number) % 4 == 0]
+        for k in keys:
+            total[k] = total.get(k, 0) + 1
+        batch = spark.createDataFrame([(k,) for k in keys], "k int").coalesce(1)
+        live.add_key_counts(batch, ["k"], place, number)
+        if number % 9 == 0:  # a batch that is run again
+            live.add_key_counts(batch, ["k"], place, number)
+        spans = live.covering_runs(live._stored_runs(spark, place))
+        assert [b for a, z in spans for b in range(a, z + 1)] == list(range(number + 1))
+        assert len(spans) <= 3 * 3
+        assert len(live._stored_runs(spark, place)) <= 3 * 3 + 2 * live.FANOUT
+    assert {r.k: r.n for r in live.key_counts(spark, ["k"], place).collect()} == total
+
+
+def test_no_batch_no_row(spark, tmp_path):
+    assert live.failures_so_far(spark, "violation", str(tmp_path / "none")).count() == 0
