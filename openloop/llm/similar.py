@@ -31,6 +31,8 @@ DISTANCE = 60
 TOGETHER = 1 << 18
 #: Runs of equal masked segments up to here are compared pair by pair, longer ones by search.
 RUN = 32
+#: Nodes whose sets a task remembers.
+FOREST = 500_000
 #: Shingles that are turned into bits at a time.
 BLOCK = 1 << 14
 
@@ -181,32 +183,67 @@ def _by_key(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[obje
         yield held, pieces
 
 
+class Forest:
+    """Sets of nodes that links have joined so far; over ``limit`` nodes it begins anew, after
+    which a link may be told again."""
+
+    def __init__(self, limit: int = FOREST) -> None:
+        self.above: dict[int, int] = {}
+        self.limit = limit
+
+    def _top(self, node: int) -> int:
+        top = node
+        while (up := self.above.get(top, top)) != top:
+            top = up
+        while node != top:
+            self.above[node], node = top, self.above[node]
+        return top
+
+    def joining(self, pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The pairs that join two sets; of links that connect n nodes, n - 1."""
+        if len(self.above) > self.limit:
+            self.above.clear()
+        new = []
+        for a, b in pairs:
+            left, right = self._top(a), self._top(b)
+            if left != right:
+                self.above[left] = self.above[right] = min(left, right)
+                new.append((a, b))
+        return new
+
+
 def _links(fps: DataFrame, together: int) -> DataFrame:
-    """(a, b) links of nodes that connect all candidates among ``fps``."""
+    """(a, b) links of nodes that connect all candidates among ``fps``. A task gives out only what
+    joins two sets of nodes, over all the keys it has, so at most as many links as nodes."""
     first = min(SEGMENT, max(2, (fps.count() // together).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
         for key, pieces in _by_key(batches, "key"):
             words = np.concatenate([_matrix(p) for p in pieces])
             nodes = _nodes(words)
             found = [np.stack([nodes[a], nodes[b]], axis=1) for a, b in _met(words, int(key), first) if len(a)]
             if found:
                 pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-                columns = [pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+                joining = np.array(forest.joining(pairs.tolist()), dtype=np.int64).reshape(-1, 2)
+                if len(joining):
+                    columns = [pa.array(np.ascontiguousarray(joining[:, k])) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     rows = fps.select(*WORDS).mapInArrow(_dealt(first), "key long, w0 long, w1 long, w2 long, w3 long")
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
-def similar_groups(sets: list[set[bytes]], least: Fraction) -> list[int]:
-    """A number for each set, equal where a chain of sets at Jaccard ``least`` or more joins them.
-    Empty sets are equal to each other."""
-    names: dict[bytes, int] = {}
+def numbers(found: set[bytes]) -> np.ndarray:
+    """A set of shingles as ascending 64-bit hashes."""
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
+
+
+def similar_groups(sets: list[np.ndarray], least: Fraction) -> list[int]:
+    """A number for each set (ascending :func:`numbers`), equal where a chain of sets at Jaccard
+    ``least`` or more joins them. Empty sets are equal to each other."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    members = np.concatenate([
-        np.fromiter((names.setdefault(x, len(names)) for x in s), np.int64, len(s)) for s in sets
-    ])
+    names, members = np.unique(np.concatenate(sets), return_inverse=True)
     ends = np.cumsum(sizes)
     group = np.full(len(sets), -1)
     group[sizes == 0] = len(sets)
@@ -228,23 +265,45 @@ def similar_groups(sets: list[set[bytes]], least: Fraction) -> list[int]:
     return group.tolist()
 
 
+def _sets(rows: DataFrame, kind: str, width: int) -> DataFrame:
+    """(group, id, tie, mark, shingles) of (group, id, tie, text): the set of a text as packed
+    64-bit hashes, and its digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [numbers(shingles(t.as_py(), width)).tobytes() for t in batch.column(3)]
+            marks = [xxhash.xxh3_128_digest(p) for p in packed]
+            own = [pa.array(column, pa.binary()) for column in (marks, packed)]
+            names = ["group", "id", "tie", "mark", "shingles"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *own], names=names)
+
+    return rows.mapInArrow(run, f"group long, id {kind}, tie long, mark binary, shingles binary")
+
+
 def _surplus(rows: DataFrame, kind: str, width: int, least: Fraction) -> DataFrame:
-    """(id, tie) of the rows (group, id, tie, text) that are not the first of their near copies."""
+    """(id, tie) of the rows (group, id, tie, text) that are not the first of their near copies.
+
+    Equal sets of a group fold to one row before they move; a task holds the different sets of
+    one group, eight bytes for each shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, pieces in _by_key(batches, "group"):
             table = pa.Table.from_batches(pieces)
-            ids = table["id"].to_pylist()
-            groups = similar_groups([shingles(t.as_py(), width) for t in table["text"]], least)
+            groups = similar_groups([np.frombuffer(s.as_py(), np.uint64) for s in table["shingles"]], least)
             first: dict[int, object] = {}
-            for g, i in zip(groups, ids):
+            for g, i in zip(groups, table["first"].to_pylist()):
                 if i is not None:
                     first[g] = min(first.get(g, i), i)
-            gone = pa.array([i != first.get(g) for g, i in zip(groups, ids)])
-            yield from table.select(["id", "tie"]).filter(gone).combine_chunks().to_batches()
-
-    rows = rows.repartition("group").sortWithinPartitions("group")
-    return rows.mapInArrow(run, f"id {kind}, tie long")
+            kept = pa.array([first.get(g) for g in groups], table.schema.field("first").type)
+            found = table.select(["group", "mark"]).append_column("kept", kept)
+            yield from found.combine_chunks().to_batches()
+
+    sets = staged(_sets(rows, kind, width))
+    folded = sets.groupBy("group", "mark").agg(F.min("id").alias("first"), F.any_value("shingles").alias("shingles"))
+    folded = folded.repartition("group").sortWithinPartitions("group")
+    kept = folded.mapInArrow(run, f"group long, mark binary, kept {kind}")
+    met = sets.select("group", "mark", "id", "tie").join(kept, ["group", "mark"])
+    return met.where(~F.col("id").eqNullSafe(F.col("kept"))).select("id", "tie")
 
 
 def keep_one_of_similar(

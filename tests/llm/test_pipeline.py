@@ -8,7 +8,8 @@ import duckdb
 import pandas as pd
 import pytest
 from test_corpus import check_mix
-from test_dedup import bits, grouped
+from test_dedup import grouped
+from test_similar import alike
 
 from openloop.llm import quality_net
 from openloop.llm.oracles import ORACLES
@@ -25,9 +26,7 @@ def by_hand(spark):
     for r in kept:
         groups[re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "")].append(r)
     kept = [min(g, key=lambda r: r.doc_id) for g in groups.values()]
-    prints = {r.doc_id: bits(r.text) for r in kept}
-    pairs = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3]
-    roots = grouped(pairs, sorted(prints))
+    roots = grouped(alike({r.doc_id: r.text for r in kept}), sorted(r.doc_id for r in kept))
     kept = [r for r in kept if roots[r.doc_id] == r.doc_id]
     con = duckdb.connect()
     con.register("documents", pd.DataFrame([(r.doc_id, r.text) for r in kept], columns=["doc_id", "text"]))

@@ -93,3 +93,39 @@ def test_edge_cases(spark):
     assert kept.schema == docs.schema
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "11", "12", "13", "14", "15", "3", "4", "None"]
     assert similar.keep_one_of_similar(docs.where("false")).count() == 0
+
+
+def test_a_task_tells_each_link_once():
+    rng = random.Random(1)
+    forest, told, pairs = similar.Forest(), [], []
+    for _ in range(30):
+        some = [(rng.randrange(200), rng.randrange(200)) for _ in range(40)]
+        pairs += some
+        told += forest.joining(some)
+    nodes = sorted({n for pair in pairs for n in pair})
+    assert grouped(told, nodes) == grouped(pairs, nodes)
+    assert len(told) == len(nodes) - len(set(grouped(pairs, nodes).values()))
+    small = similar.Forest(limit=5)
+    again = [link for pair in pairs for link in small.joining([pair])]
+    assert grouped(again, nodes) == grouped(pairs, nodes)
+
+
+def test_links_of_a_large_group_are_few(spark):
+    base = [f"v{k}" for k in range(400)]
+    rng, prints = random.Random(4), []
+    for _ in range(600):
+        words = list(base)
+        words[rng.randrange(400)] = f"x{rng.randrange(10**6)}"
+        prints.append(similar.fingerprint(similar.shingles(" ".join(words).encode(), 5)).view("int64").tolist())
+    fps = spark.createDataFrame(prints, "w0 long, w1 long, w2 long, w3 long").distinct()
+    found = similar._links(fps, similar.TOGETHER)
+    tasks = found.rdd.getNumPartitions()
+    assert 0 < found.count() <= tasks * (fps.count() - 1)
+
+
+def test_chain_of_near_copies_is_one_group():
+    sets = [similar.numbers({b"%d" % x for x in range(5 * k, 5 * k + 100)}) for k in range(40)]
+    assert len(set(similar.similar_groups(sets, similar.Fraction(4, 5)))) == 1
+    assert len(set(similar.similar_groups(sets[::9], similar.Fraction(4, 5)))) == len(sets[::9])
+    empty = [similar.numbers(set())] * 2
+    assert len(set(similar.similar_groups(empty + sets[:1], similar.Fraction(4, 5)))) == 2
