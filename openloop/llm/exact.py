@@ -38,7 +38,7 @@ def _shared(left: bytes, right: bytes) -> int:
 
 
 class _Node:
-    """``owner`` is None, or [smallest id, rows] of the string that ends here."""
+    """``owner`` is None, or [smallest id, rows, hash] of the string that ends here."""
 
     __slots__ = ("label", "children", "owner")
 
@@ -47,18 +47,19 @@ class _Node:
 
 
 class Trie:
-    """A Patricia trie over byte strings."""
+    """A Patricia trie over byte strings. It holds labels only, ``held`` bytes of them: a string
+    is put together again when it is taken out."""
 
     def __init__(self) -> None:
         self.root = _Node(b"", None)
         self.held = 0
 
-    def add(self, text: bytes, ident, rows: int) -> None:
+    def add(self, text: bytes, ident, rows: int, text_hash: int = 0) -> None:
         node, at = self.root, 0
         while at < len(text):
             child = node.children.get(text[at])
             if child is None:
-                node.children[text[at]] = _Node(text[at:], [ident, rows])
+                node.children[text[at]] = _Node(text[at:], [ident, rows, text_hash])
                 self.held += len(text) - at
                 return
             if not text.startswith(child.label, at):
@@ -69,7 +70,7 @@ class Trie:
                 node.children[text[at]] = child = upper
             node, at = child, at + len(child.label)
         if node.owner is None:
-            node.owner = [ident, rows]
+            node.owner = [ident, rows, text_hash]
             return
         held = node.owner
         held[1] += rows
@@ -130,20 +131,19 @@ def _fold_scan(limit: int):
     """Folds equal texts of one task; over ``limit`` the trie spills its largest subtree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, hashes, schema = Trie(), {}, None
+        trie, schema = Trie(), None
 
         def released(pairs):
-            for text, (ident, rows) in pairs:
-                yield len(text), hashes.pop(text), text, ident, rows
+            for text, (ident, rows, text_hash) in pairs:
+                yield len(text), text_hash, text, ident, rows
 
         for batch in batches:
             schema = _schema(batch)
             columns = (batch.column(n).to_pylist() for n in ("text_hash", "normal", "keep_id"))
             for text_hash, text, ident in zip(*columns):
-                trie.add(text, ident, 1)
-                hashes[text] = text_hash
+                trie.add(text, ident, 1, text_hash)
                 if trie.held > limit:
-                    yield from _batches(released(list(trie.pop(trie.largest()))), schema)
+                    yield from _batches(released(trie.pop(trie.largest())), schema)
         if schema is not None:
             yield from _batches(released(trie.pop()), schema)
 
@@ -162,10 +162,10 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             schema = _schema(batch)
             for n, text_hash, text, ident, rows in zip(*(c.to_pylist() for c in batch.columns)):
                 if (n, text_hash) != at:
-                    yield from ((*at, text, *owner) for text, owner in trie.pop() if at)
+                    yield from ((*at, text, *owner[:2]) for text, owner in trie.pop() if at)
                     at = (n, text_hash)
                 trie.add(text, ident, rows)
-        yield from ((*at, text, *owner) for text, owner in trie.pop())
+        yield from ((*at, text, *owner[:2]) for text, owner in trie.pop())
 
     rows = owners()
     first = next(rows, None)

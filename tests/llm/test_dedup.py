@@ -81,7 +81,7 @@ def test_trie_holds_strings_with_common_prefixes():
     for n in range(3000):
         text = bytes(rng.choice(b"ab") for _ in range(rng.randrange(9)))
         trie.add(text, n, 1)
-        expected.setdefault(text, [n, 0])[1] += 1
+        expected.setdefault(text, [n, 0, 0])[1] += 1
     assert dict(trie.pop()) == expected
 
 
@@ -140,3 +140,31 @@ def test_simhash_edge_cases(spark):
 def test_whole_long_text_counts():
     text = b" ".join(b"w%d" % (n % 977) for n in range(simhash.BLOCK + 500))
     assert simhash.fingerprint(text) == bits(text.decode())
+
+
+def test_a_scan_task_holds_labels_only():
+    """Texts of 1 MB with a common beginning: what is resident follows the labels, and what a spill
+    releases goes out text by text."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    prefix, n = b"boilerplate " * 90_000, 40
+
+    def batches():
+        for k in range(n):
+            columns = [pa.array([k], pa.int64()), pa.array([prefix + b"%d" % k], pa.binary()), pa.array([k], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["text_hash", "normal", "keep_id"])
+
+    for limit in (exact.TRIE_BYTES, 1 << 20):
+        tracemalloc.start()
+        seen = {}
+        for batch in exact._fold_scan(limit)(batches()):
+            for row in batch.to_pylist():
+                assert row["text_hash"] == row["keep_id"] and row["n_bytes"] == len(row["normal"])
+                seen[row["keep_id"]] = row["normal"][len(prefix):]
+            del batch, row
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert seen == {k: b"%d" % k for k in range(n)}
+        assert peak < 16 << 20 < n * len(prefix) // 2
