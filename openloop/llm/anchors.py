@@ -55,13 +55,23 @@ class Kind:
 
 
 def keyed(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
-    """(all rows, different documents) as (nul, doc, th, id, text). The hash of the text is
-    needed to tell documents apart only where ids repeat or are unknown."""
+    """(all rows, different documents) as (nul, doc, th, id, text). ``doc`` orders documents as
+    their ids do: it is the id where that is a whole number, else its rank. The hash of the text
+    is needed to tell documents apart only where ids repeat or are unknown."""
     ident = F.col(id_column)
+    docs = docs.select(ident, F.col(text_column))
+    whole = docs.schema[id_column].dataType.typeName() in ("byte", "short", "integer", "long")
+    if whole:
+        docs = docs.withColumn("_rank", ident.cast("long"))
+    else:
+        known = docs.select(ident.alias("_id")).where("_id IS NOT NULL").distinct()
+        ranked = known.repartitionByRange("_id").sortWithinPartitions("_id")
+        ranked = staged(ranked.withColumn("_rank", F.monotonically_increasing_id()))
+        docs = docs.join(ranked, ident == F.col("_id"), "left").drop("_id")
     ids = docs.select(ident.alias("id")).groupBy("id").count()
     repeated = not ids.where("count > 1").isEmpty()
     rows = docs.select(
-        ident.isNull().alias("nul"), F.coalesce(ident.cast("long"), F.lit(0)).alias("doc"),
+        ident.isNull().alias("nul"), F.coalesce("_rank", F.lit(0).cast("long")).alias("doc"),
         (F.xxhash64(F.col(text_column)) if repeated else F.lit(0).cast("long")).alias("th"),
         ident.alias("id"), text_bytes(F.col(text_column)).alias("text"),
     )
@@ -85,11 +95,11 @@ def _records(kind: Kind, limit: int):
             return None
         rank = {who: n for n, who in enumerate(sorted(range(len(docs)), key=docs.__getitem__))}
         of = np.concatenate([np.full(len(p[1]), p[0]) for p in parts])
-        key, digest, first, last = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3, 4))
+        key, digest, more, first, last = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3, 4, 5))
         place = np.array([rank[d] for d in range(len(docs))])[of]
-        order = np.lexsort((first, place, digest, key))
+        order = np.lexsort((first, place, more, digest, key))
         new = np.ones(len(order), dtype=bool)
-        new[1:] = (np.diff(key[order]) != 0) | (np.diff(digest[order]) != 0)
+        new[1:] = (np.diff(key[order]) != 0) | (np.diff(digest[order]) != 0) | (np.diff(more[order]) != 0)
         is_open = np.zeros(len(order), dtype=bool)
         is_open[order[new]] = True
         # Spans of a document that follow one another become one; they need no partner, so any key.
@@ -108,7 +118,7 @@ def _records(kind: Kind, limit: int):
         of = of[keep]
         nul, doc, th = (np.array([d[k] for d in docs])[of] for k in range(3))
         return _batch(
-            open=is_open[keep], key=key[keep], digest=digest[keep], nul=nul, doc=doc, th=th,
+            open=is_open[keep], key=key[keep], digest=digest[keep], more=more[keep], nul=nul, doc=doc, th=th,
             first=first[keep].astype(np.int32), last=ends[keep].astype(np.int32),
         )
 
@@ -121,14 +131,13 @@ def _records(kind: Kind, limit: int):
                     continue
                 key, anchor, first, last = kind.anchors(units)
                 held = kind.digestible(units)
-                digest = np.fromiter(
-                    (
-                        xxhash.xxh3_64_intdigest(held[a : b + kind.window], p)
-                        for a, b, p in zip(first.tolist(), last.tolist(), (anchor - first).tolist())
-                    ),
-                    np.uint64, len(first),
-                ).view(np.int64)
-                parts.append((len(docs), key.view(np.int64).copy(), digest, first, last))
+                # 128 bits of the whole context, seeded by where the anchor lies in it.
+                digest = b"".join([
+                    xxhash.xxh3_128_digest(held[a : b + kind.window], p)
+                    for a, b, p in zip(first.tolist(), last.tolist(), (anchor - first).tolist())
+                ])
+                digest = np.frombuffer(digest, np.int64).reshape(-1, 2)
+                parts.append((len(docs), key.view(np.int64).copy(), digest[:, 0], digest[:, 1], first, last))
                 docs.append((nul, doc, th))
                 size += len(text)
                 if size >= limit:
@@ -143,18 +152,18 @@ def _records(kind: Kind, limit: int):
 def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of records sorted by key, context and document order: repeats become spans, the earliest
     of each context stays open if its key has another context. Holds one record between batches."""
-    names = ("open", "key", "digest", *WHO, "first", "last")
-    last_key = last_digest = None
+    names = ("open", "key", "digest", "more", *WHO, "first", "last")
+    last_key = last_digest = last_more = None
     waiting: list[tuple] = []
     for batch in batches:
         cols = dict(zip(names, _columns(batch, *names)))
-        key, digest, is_open = cols["key"], cols["digest"], cols["open"].astype(bool)
+        key, is_open = cols["key"], cols["open"].astype(bool)
         at = np.flatnonzero(is_open)
-        k, d = key[at], digest[at]
+        k, d, m = key[at], cols["digest"][at], cols["more"][at]
         owner = np.zeros(len(at), dtype=bool)
         if len(at):
-            owner[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1])
-            owner[0] = (k[0], d[0]) != (last_key, last_digest)
+            owner[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1]) | (m[1:] != m[:-1])
+            owner[0] = (k[0], d[0], m[0]) != (last_key, last_digest, last_more)
         owners = at[owner]
         wanted = np.zeros(len(key), dtype=bool)
         if len(owners):
@@ -172,7 +181,7 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not shared[-1]:
                 waiting = [tuple(cols[n][owners[-1]] for n in names)]
         if len(at):
-            last_key, last_digest = k[-1], d[-1]
+            last_key, last_digest, last_more = k[-1], d[-1], m[-1]
         repeats = np.ones(len(key), dtype=bool)
         repeats[owners] = False
         keep = repeats | wanted
@@ -233,9 +242,9 @@ def _resolve(kind: Kind):
 def repeated_windows(texts: DataFrame, kind: Kind, hot: int = HOT, fold_bytes: int = FOLD_BYTES) -> DataFrame:
     """(nul, doc, th, first, last): runs of window starts that also start earlier. ``texts`` are
     different documents as :func:`keyed` gives them."""
-    record = f"open boolean, key long, digest long, {KEYED}, first int, last int"
+    record = f"open boolean, key long, digest long, more long, {KEYED}, first int, last int"
     found = texts.select(*WHO, "text").mapInArrow(_records(kind, fold_bytes), record)
-    found = found.repartition("key").sortWithinPartitions("key", "digest", *WHO, "first")
+    found = found.repartition("key").sortWithinPartitions("key", "digest", "more", *WHO, "first")
     found = staged(found.mapInArrow(_by_key, f"open boolean, key long, {KEYED}, first int, last int"))
     runs = [found.where("NOT open").select(*WHO, "first", "last")]
     asked = found.where("open").drop("open")

@@ -7,6 +7,7 @@ import __spark_entry__ as entry_points
 import numpy as np
 import pytest
 from compare import compare, duck
+from pyspark.sql import functions as F
 
 from openloop.llm import recompression, suffixes
 
@@ -16,8 +17,6 @@ SCHEMA = "doc_id long, text string, th string, first int"
 
 def order_of(spark, rows):
     """Documents in order, as (id, text): null ids last, equal ids by the hash of the text."""
-    from pyspark.sql import functions as F
-
     ids = [r[0] for r in rows]
     repeated = len(set(ids)) < len(ids)
     df = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, text string")
@@ -137,3 +136,24 @@ def test_symbols_inside_a_passage_do_not_depend_on_what_surrounds_it():
         own = set.intersection(*(set(s) for s in seen))
         assert own and all(4 <= at for at, _ in own)
         assert len({tuple(x for x in s if x[0] <= 12) for s in seen}) == 1
+
+
+@pytest.mark.parametrize("remove, brute", [
+    (suffixes.remove_repeated_bytes, bytes_cut), (recompression.remove_repeated_passages, words_cut),
+])
+def test_ids_order_by_their_own_type(spark, remove, brute):
+    """Text ids order as text (10 before 9), dates as dates."""
+    rng = random.Random(8)
+    base = " ".join(f"v{rng.randrange(10**6)}" for _ in range(60))
+    given = [(name, f"{name} {base}" if k % 3 else base) for k, name in enumerate(["9", "10", "a-1", "B", "", "é"])]
+    given += [(None, base), ("10", base), ("c", None)]
+    docs = spark.createDataFrame(given, "doc_id string, text string")
+    # Rows that share an id order by the hash of their text, which Spark knows.
+    ranked = docs.withColumn("h", F.xxhash64("text")).distinct().collect()
+    order = sorted(ranked, key=lambda r: (r.doc_id is None, (r.doc_id or "").encode(), r.h))
+    expected = brute([((r.doc_id, r.text), r.text) for r in order])
+    expected = {key[0]: value for key, value in expected.items()}
+    found = sorted((str(r.doc_id), r.n_units, r.n_removed) for r in remove(docs).collect())
+    assert found == sorted((str(d), *expected[d, t][:2]) for d, t in given)
+    days = docs.where("doc_id IN ('9', 'B')").withColumn("doc_id", F.expr("if(doc_id = '9', date'2024-01-02', date'2023-05-06')"))
+    assert {str(r.doc_id): r.n_removed > 0 for r in remove(days).collect()} == {"2024-01-02": True, "2023-05-06": False}
