@@ -192,11 +192,12 @@ def count_tokens(docs: DataFrame, ranks: str = RANKS, text_column: str = "text",
         return F.transform(edits_column, lambda e: F.coalesce(e[name].cast(kind), F.lit(default)))
 
     edits = (part("start", "long", 0), part("removed", "long", 0), part("inserted", "string", ""))
-    out = docs.withColumn("_counts", counted(F.col(text_column), *edits))
-    out = out.withColumn("n_tokens", F.col("_counts.n_tokens"))
+    held_as = "_counts"
+    while held_as in docs.columns:
+        held_as += "_"
+    out = docs.withColumn(held_as, counted(F.col(text_column), *edits))
+    results = {"n_tokens": F.col(f"{held_as}.n_tokens")}
     if edits_column:
-        names = ("n_edits", "tokens_after", "reencoded")
-        out = out.withColumns({n: F.col(f"_counts.{n}") for n in names})
-        whole = F.coalesce(F.col("_counts.text_after"), F.col(text_column), F.lit(""))
-        out = out.withColumn("text_after", whole)
-    return out.drop("_counts")
+        results |= {n: F.col(f"{held_as}.{n}") for n in ("n_edits", "tokens_after", "reencoded")}
+        results["text_after"] = F.coalesce(F.col(f"{held_as}.text_after"), F.col(text_column), F.lit(""))
+    return out.withColumns(results).drop(held_as)
