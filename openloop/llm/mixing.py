@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from openloop.functions.durable import staged
-from openloop.llm.texts import word_count
+from openloop.llm.texts import WORD, let, word_count
 
-# Primes above any number of blocks, so each is coprime to it.
-PRIMES = (2**61 - 1, 2**63 - 25, 2**63 - 165, 2**63 - 259, 2**63 - 301, 2**63 - 375)
+#: Rounds of a permutation.
+ROUNDS = 40
 
 
 @dataclass(frozen=True)
@@ -65,21 +65,20 @@ def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
     return ranked.select("rank", "src", "source_size", target.otherwise(F.col("w") * F.col("found")).alias("target"))
 
 
-def _modulo(left: Column, right: Column, modulus: Column) -> Column:
-    """left * right modulo modulus, in decimals so that nothing overflows."""
-    wide = "decimal(19,0)"
-    return (left.cast(wide) * right.cast(wide) % modulus.cast(wide)).cast("long")
+def permuted(index: Column, blocks: Column, salt: Column) -> Column:
+    """Pseudorandom permutation of 0..blocks-1 under the key ``salt``, by swap-or-not rounds: each
+    round pairs every index with a partner at a drawn distance and swaps the pair or not, by a
+    hash of its larger index, so it is a permutation of any number of blocks. Index 0 goes to the
+    last block, the only short one."""
+    others = F.greatest(blocks - 1, F.lit(1).cast("long"))
 
+    def swapped(at: Column, number: Column) -> Column:
+        partner = F.pmod(F.pmod(F.xxhash64(salt, number), others) - at, others)
+        swap = F.pmod(F.xxhash64(salt, number, F.greatest(at, partner)), F.lit(2)) == 1
+        return F.when(swap, partner).otherwise(at)
 
-def permuted(index: Column, blocks: Column, salt: Column) -> Column:
-    """Pseudorandom permutation of 0..blocks-1: an affine map whose multiplier is a product of
-    primes that ``salt`` picks. Index 0 goes to the last block, the only short one."""
-    multiplier = F.lit(1).cast("long") % blocks
-    for bit, prime in enumerate(PRIMES):
-        picked = F.shiftright(salt, bit).bitwiseAND(F.lit(1).cast("long")) == 1
-        factor = F.when(picked, F.lit(prime) % blocks).otherwise(F.lit(1).cast("long") % blocks)
-        multiplier = _modulo(multiplier, factor, blocks)
-    return (_modulo(index, multiplier, blocks) + blocks - 1) % blocks
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), (index - 1).cast("long"), swapped)
+    return F.when(index == 0, blocks - 1).otherwise(walked)
 
 
 def _stream(sizes: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -175,6 +174,46 @@ def mixture(sizes: DataFrame, ranks: DataFrame, mix: Mix) -> DataFrame:
     ).where("n_words > 0")
 
 
+def mixed_blocks(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", mix: Mix = Mix()
+) -> DataFrame:
+    """The mixed corpus: (shard, slot, source, n_words, text), a row per block slot, its words
+    joined by one space. The shards of a slot are drawn, so a shard holds about ``shard`` slots.
+
+    Each document is cut once, whatever number of slots takes pieces of it. Documents without a
+    word and sources without one give no row; an empty table none.
+    """
+    sizes = measured(docs, id_column, text_column, source_column)
+    ranks = staged(targets(sizes, mix))
+    piece = F.struct("shard", "slot", "rank", "offset", "first_word", "n_words")
+    pieces = mixture(sizes, ranks, mix).groupBy("doc", "tie").agg(F.collect_list(piece).alias("pieces"))
+    texts = docs.select(
+        F.col(id_column).alias("d"), F.xxhash64(F.col(text_column)).alias("t"), F.col(text_column).alias("text")
+    ).dropDuplicates(["d", "t"])
+    met = pieces.join(texts, F.col("doc").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")))
+
+    def cut(words: Column) -> Column:
+        return F.transform("pieces", lambda p: F.struct(
+            p["shard"].alias("shard"), p["slot"].alias("slot"), p["rank"].alias("rank"), p["n_words"].alias("n"),
+            F.struct(p["offset"].alias("offset"), p["first_word"].alias("first"), F.array_join(
+                F.slice(words, (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")), " ").alias("words")).alias("part"),
+        ))
+
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    parts = met.select(F.explode(let(words, cut)).alias("p")).select("p.*")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list("part")), lambda p: p["words"]), " ")
+    slots = parts.groupBy("shard", "rank", "slot").agg(F.sum("n").alias("n_words"), joined.alias("text"))
+    return slots.join(ranks.select("rank", "src"), "rank").select(
+        "shard", "slot", F.col("src").alias("source"), "n_words", "text"
+    )
+
+
+def write_mix(docs: DataFrame, path: str, mix: Mix = Mix(), **columns: str) -> None:
+    """Writes :func:`mixed_blocks` as one folder for each shard, slots in order."""
+    blocks = mixed_blocks(docs, mix=mix, **columns)
+    blocks.repartition("shard").sortWithinPartitions("shard", "slot", "source").write.partitionBy("shard").parquet(path)
+
+
 def measured(docs: DataFrame, id_column: str, text_column: str, source_column: str) -> DataFrame:
     return staged(
         docs.select(

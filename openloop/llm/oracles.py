@@ -16,15 +16,16 @@ WINDOW same AS (PARTITION BY t)
 """
 
 # A token run of 13 with at most two substitutions holds four equal tokens in a row, so shared
-# 4-grams give all alignments that can qualify.
-ORACLES["op10_decontamination"] = r"""
+# 4-grams give all alignments that can qualify; a shorter item is leaked where all of it is there.
+_TOKENS = r"""list_filter(regexp_split_to_array(
+    regexp_replace(lower(text), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'),
+    '[^\p{L}\p{N}]+'), lambda x: x <> '')"""
+
+ORACLES["op10_decontamination"] = f"""
 WITH tokens AS (
-    SELECT true AS is_item, item_id AS id,
-           list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS tok
-    FROM benchmark
+    SELECT true AS is_item, item_id AS id, {_TOKENS} AS tok FROM benchmark
     UNION ALL
-    SELECT false, doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')
-    FROM documents
+    SELECT false, doc_id, {_TOKENS} FROM documents
 ),
 words AS (
     SELECT is_item, id, len(tok) AS n, unnest(tok) AS word, generate_subscripts(tok, 1) - 1 AS pos FROM tokens
@@ -36,7 +37,10 @@ grams AS (
 alignments AS (
     SELECT DISTINCT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS doc_start
     FROM grams AS d JOIN grams AS i ON d.gram = i.gram
-    WHERE NOT d.is_item AND i.is_item
+    WHERE NOT d.is_item AND i.is_item AND i.n >= 13
+    UNION ALL
+    SELECT d.id, i.id, d.pos FROM words AS d JOIN words AS i ON d.word = i.word
+    WHERE NOT d.is_item AND i.is_item AND i.n < 13 AND i.pos = 0
 ),
 placed AS (
     SELECT a.doc_id, a.item_id, a.doc_start, i.n, i.pos, CASE WHEN d.word = i.word THEN 1 ELSE 0 END AS same
@@ -51,7 +55,7 @@ runs AS (
 ),
 found AS (
     SELECT doc_id, item_id, doc_start, n, sum(same) AS matched
-    FROM runs GROUP BY ALL HAVING max(CASE WHEN width = 13 THEN near END) >= 11
+    FROM runs GROUP BY ALL HAVING coalesce(max(CASE WHEN width = 13 THEN near END) >= 11, sum(same) = n)
 )
 SELECT doc_id, item_id, max(matched)::INT AS n_matched, max(n)::INT AS n_tokens,
        arg_min(doc_start, (-matched, doc_start))::INT AS doc_start
