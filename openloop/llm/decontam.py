@@ -27,13 +27,19 @@ GROUPS = ((0, 1, 2), (3, 4), (5, 6, 7), (8, 9))
 MASKS = tuple(sorted(a + b) for a, b in combinations(GROUPS, len(GROUPS) - SLACK))
 
 
-# Scripts written without spaces between words.
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+# Code points of scripts written without spaces between words (Thai and Lao, Burmese,
+# Khmer, kana, Han). All of them lie at or above U+0E00.
+UNSPACED = (
+    r"[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}]"
+)
+MAY_BE_UNSPACED = r"[\x{E00}-\x{10FFFF}]"
 
 
 def tokens(text: Column) -> Column:
     """Runs of letters and digits, lower-cased; characters of scripts without spaces one by one."""
-    spaced = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), UNSPACED, " $0 ")
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    spaced = F.when(lower.rlike(MAY_BE_UNSPACED), F.regexp_replace(lower, UNSPACED, " $0 ")).otherwise(lower)
     return F.array_remove(F.split(spaced, r"[^\p{L}\p{N}]+"), "")
 
 

@@ -18,7 +18,8 @@ WINDOW same AS (PARTITION BY t)
 # A token run of 13 with at most two substitutions holds four equal tokens in a row, so shared
 # 4-grams give all alignments that can qualify; a shorter item is leaked where all of it is there.
 _TOKENS = r"""list_filter(regexp_split_to_array(
-    regexp_replace(lower(text), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g'),
+    regexp_replace(lower(text), '([\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}])',
+                   ' \1 ', 'g'),
     '[^\p{L}\p{N}]+'), lambda x: x <> '')"""
 
 ORACLES["op10_decontamination"] = f"""
