@@ -161,6 +161,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sa
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:
-    """The documents that score at least ``threshold``, with all their columns."""
+    """The documents that score at least ``threshold``, with all their columns. Each row is judged
+    by its text alone, a null or empty one like a text of padding, so repeated rows stay or go
+    together."""
     net = fit(docs, labels, sample=sample)
     return docs.where(score(net, F.col("text")) >= threshold)

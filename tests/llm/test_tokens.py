@@ -4,7 +4,9 @@ import random
 
 import __spark_entry__ as entry_points
 import pytest
+from pyspark.sql import functions as F
 
+from openloop.llm.token_leaves import follow_edits, token_leaves, tokens_of
 from openloop.llm.tokens import RANKS, Counter, TokenTree, count_tokens
 from openloop.llm import queries
 
@@ -65,3 +67,39 @@ def test_edge_cases(spark, counter):
     assert by_id[5].reencoded < 500
     assert count_tokens(docs.where("false")).count() == 0
     assert count_tokens(docs.drop("edits")).columns == ["doc_id", "text", "n_tokens"]
+
+
+def test_stored_leaves_follow_the_edits_of_later_days(spark, counter, tmp_path):
+    rng = random.Random(6)
+    words = ["the", "of", "it's", "12", "é", "...", "stone\n", "  "]
+    texts = {k: " ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 80, 3000]))) for k in range(40)} | {98: None, 99: ""}
+    schema = "doc_id long, text string, _edited string"
+    day = token_leaves(spark.createDataFrame([(k, t, "x") for k, t in texts.items()], schema))
+    texts = {k: t or "" for k, t in texts.items()}
+    for n in range(3):
+        day.write.parquet(str(tmp_path / str(n)))
+        stored = spark.read.parquet(str(tmp_path / str(n)))
+        assert {r.doc_id: r.n for r in stored.select("doc_id", tokens_of("leaves").alias("n")).collect()} == {
+            k: whole(counter, t) for k, t in texts.items()
+        }
+        edits = {
+            k: [(rng.randrange(len(t) + 1), rng.choice([0, 2, 9]), rng.choice(["", " new", "'s"])) for _ in range(rng.randrange(3))]
+            for k, t in texts.items()
+        }
+        given = spark.createDataFrame(list(edits.items()), "doc_id long, edits array<struct<start:int,removed:int,inserted:string>>")
+        day = follow_edits(stored.join(given, "doc_id"))
+        for k, changes in edits.items():
+            for start, gone, new in changes:
+                texts[k] = texts[k][:start] + new + texts[k][start + gone :]
+        found = {r.doc_id: r for r in day.collect()}
+        assert {k: r.text or "" for k, r in found.items()} == texts and found[0]._edited == "x"
+        for k, r in found.items():
+            assert sum(leaf.tokens for leaf in r.leaves) == whole(counter, texts[k])
+            assert r.reencoded == 0 if not edits[k] else r.reencoded < 700
+        day = day.drop("edits", "reencoded")
+    # Leaves of another text are not believed.
+    stale = stored.where("doc_id = 99").withColumn("text", F.lit("some other text"))
+    stale = stale.withColumn("edits", F.expr("array(named_struct('start', 4, 'removed', 0, 'inserted', ' more'))"))
+    (row,) = follow_edits(stale).collect()
+    assert row.text == "some more other text" and sum(leaf.tokens for leaf in row.leaves) == whole(counter, row.text)
+    assert follow_edits(stale.where("false")).count() == 0
