@@ -300,7 +300,11 @@ def s1_csv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shared_place(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new place in the shared folder, which goes when the application ends."""
+    place = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(place)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return place
 
 
 @query
@@ -851,7 +855,7 @@ def t3_live_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("action_taken"),
         F.nullif(F.col("event_type"), F.lit("view")).alias("reason"),
     )
-    place = f"{shared_folder(spark)}/live-{uuid.uuid4().hex}"
+    place = _shared_place(spark, "live")
     live.check_each_batch(
         findings, "violation", f"{place}/rows", f"{place}/progress"
     ).awaitTermination()

@@ -38,7 +38,7 @@ def arrive(spark, model, path, batches=8):
 def test_live_flags_equal_the_batch_report(spark, tmp_path):
     """Every flag is there whose two days have passed an hour before the newest event."""
     model = star(spark, findings())
-    stream = arrive(spark, model, str(tmp_path))
+    stream = arrive(spark, model, str(tmp_path), batches=4)
     opens = F.col("action_taken") == "flagged"
     closes = F.col("action_taken").isin("redacted", "escalated")
     facts = model.violation.withColumn("us", epoch_micros(model.violation, "detected_at"))
