@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from openloop.functions.durable import staged
 from openloop.llm.components import components
+from openloop.llm.large_groups import kept_of_large
 from openloop.llm.texts import text_bytes
 
 WORDS = ["w0", "w1", "w2", "w3"]
@@ -33,6 +34,8 @@ TOGETHER = 1 << 18
 RUN = 32
 #: Nodes whose sets a task remembers.
 FOREST = 500_000
+#: Shingles of the different sets of a group that one task compares; larger groups are dealt out.
+ROOM = 1 << 20
 #: Shingles that are turned into bits at a time.
 BLOCK = 1 << 14
 
@@ -266,25 +269,27 @@ def similar_groups(sets: list[np.ndarray], least: Fraction) -> list[int]:
 
 
 def _sets(rows: DataFrame, kind: str, width: int) -> DataFrame:
-    """(group, id, tie, mark, shingles) of (group, id, tie, text): the set of a text as packed
-    64-bit hashes, and its digest."""
+    """(group, id, tie, mark, n, shingles) of (group, id, tie, text): the set of a text as packed
+    64-bit hashes, its digest and its size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = [numbers(shingles(t.as_py(), width)).tobytes() for t in batch.column(3)]
             marks = [xxhash.xxh3_128_digest(p) for p in packed]
-            own = [pa.array(column, pa.binary()) for column in (marks, packed)]
-            names = ["group", "id", "tie", "mark", "shingles"]
+            sizes = pa.array([len(p) // 8 for p in packed], pa.int64())
+            own = [pa.array(marks, pa.binary()), sizes, pa.array(packed, pa.binary())]
+            names = ["group", "id", "tie", "mark", "n", "shingles"]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *own], names=names)
 
-    return rows.mapInArrow(run, f"group long, id {kind}, tie long, mark binary, shingles binary")
+    return rows.mapInArrow(run, f"group long, id {kind}, tie long, mark binary, n long, shingles binary")
 
 
-def _surplus(rows: DataFrame, kind: str, width: int, least: Fraction) -> DataFrame:
+def _surplus(rows: DataFrame, kind: str, width: int, least: Fraction, room: int) -> DataFrame:
     """(id, tie) of the rows (group, id, tie, text) that are not the first of their near copies.
 
-    Equal sets of a group fold to one row before they move; a task holds the different sets of
-    one group, eight bytes for each shingle."""
+    Equal sets of a group fold to one row before they move. A task compares the different sets of
+    one group where they have at most ``room`` shingles, eight bytes each; of larger groups no
+    task holds more than ``room`` and the pivots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, pieces in _by_key(batches, "group"):
@@ -300,8 +305,14 @@ def _surplus(rows: DataFrame, kind: str, width: int, least: Fraction) -> DataFra
 
     sets = staged(_sets(rows, kind, width))
     folded = sets.groupBy("group", "mark").agg(F.min("id").alias("first"), F.any_value("shingles").alias("shingles"))
-    folded = folded.repartition("group").sortWithinPartitions("group")
-    kept = folded.mapInArrow(run, f"group long, mark binary, kept {kind}")
+    sizes = sets.groupBy("group", "mark").agg(F.any_value("n").alias("n")).groupBy("group").agg(F.sum("n").alias("size"))
+    large = staged(sizes.where(F.col("size") > room))
+    some = not large.isEmpty()
+    whole = folded.join(large, "group", "left_anti") if some else folded
+    whole = whole.repartition("group").sortWithinPartitions("group")
+    kept = whole.mapInArrow(run, f"group long, mark binary, kept {kind}")
+    if some:
+        kept = kept.union(kept_of_large(staged(folded.join(large, "group", "left_semi")), large, room, least))
     met = sets.select("group", "mark", "id", "tie").join(kept, ["group", "mark"])
     return met.where(~F.col("id").eqNullSafe(F.col("kept"))).select("id", "tie")
 
@@ -309,6 +320,7 @@ def _surplus(rows: DataFrame, kind: str, width: int, least: Fraction) -> DataFra
 def keep_one_of_similar(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     width: int = 5, least: Fraction = Fraction(4, 5), together: int = TOGETHER,
+    room: int = ROOM,
 ) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their near copies, with all their columns.
 
@@ -330,7 +342,7 @@ def keep_one_of_similar(
         F.col(id_column).alias("d"), F.xxhash64(text_column).alias("t"), text_bytes(F.col(text_column)).alias("text")
     )
     same = F.col("d").eqNullSafe(F.col("id")) & (F.col("t") == F.col("tie"))
-    surplus = staged(_surplus(wanted.join(text, same).select("group", "id", "tie", "text"), kind, width, least))
+    surplus = staged(_surplus(wanted.join(text, same).select("group", "id", "tie", "text"), kind, width, least, room))
     gone = surplus.select(F.col("id").alias("_gone_id"), F.col("tie").alias("_gone_tie")).distinct()
     found = docs[id_column].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_column]) == gone["_gone_tie"])
     return docs.join(gone, found, "left_anti")

@@ -69,13 +69,13 @@ def test_links_connect_all_candidates(run, together, monkeypatch):
     assert expected and grouped(found, range(len(prints))) == grouped(expected, range(len(prints)))
 
 
-@pytest.mark.parametrize("together", [1, similar.TOGETHER])
-def test_stage_links_exactly_what_is_similar(spark, together):
+@pytest.mark.parametrize("together, room", [(1, similar.ROOM), (similar.TOGETHER, similar.ROOM), (similar.TOGETHER, 300)])
+def test_stage_links_exactly_what_is_similar(spark, together, room):
     texts = families(random.Random(11))
     roots = grouped(alike(texts), sorted(texts))
     assert 25 < len(set(roots.values())) < len(texts)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
-    kept = sorted(r.doc_id for r in similar.keep_one_of_similar(docs, together=together).collect())
+    kept = sorted(r.doc_id for r in similar.keep_one_of_similar(docs, together=together, room=room).collect())
     assert kept == sorted(set(roots.values()))
 
 
@@ -129,3 +129,27 @@ def test_chain_of_near_copies_is_one_group():
     assert len(set(similar.similar_groups(sets[::9], similar.Fraction(4, 5)))) == len(sets[::9])
     empty = [similar.numbers(set())] * 2
     assert len(set(similar.similar_groups(empty + sets[:1], similar.Fraction(4, 5)))) == 2
+
+
+def test_large_groups_are_decided_as_in_one_task(spark):
+    """A chain whose ends differ, many copies of one text, loose texts, an empty one: one group."""
+    rng = random.Random(8)
+    sets = [{b"c%d" % x for x in range(6 * k, 6 * k + 100)} for k in range(60)]
+    base = [b"b%d" % x for x in range(120)]
+    sets += [{*base, *(b"%d" % rng.randrange(10**6) for _ in range(5))} - {rng.choice(base)} for _ in range(500)]
+    sets += [{*base[:n], *(b"o%d" % rng.randrange(40) for _ in range(30))} for n in range(70, 120)]
+    sets += [{b"l%d" % rng.randrange(300) for _ in range(60)} for _ in range(40)]
+    packed = sorted({similar.numbers(s).tobytes() for s in [*sets, set()]})
+    groups = similar.similar_groups([np.frombuffer(p, np.uint64) for p in packed], similar.Fraction(4, 5))
+    assert 10 < len(set(groups)) < 200
+    rows = [(1, b"%016d" % k, None if k % 50 == 0 else k, p) for k, p in enumerate(packed)]
+    first = defaultdict(list)
+    for g, (*_, k, _) in zip(groups, rows):
+        first[g] += [k] if k is not None else []
+    expected = {mark: min(first[g], default=None) for g, (_, mark, *_) in zip(groups, rows)}
+    table = spark.createDataFrame(rows, "group long, mark binary, first long, shingles binary").repartition(4)
+    sizes = table.selectExpr("group", "length(shingles) div 8 AS n").groupBy("group").agg({"n": "sum"}).toDF("group", "size")
+    for room in (2000, 10**9):
+        kept = similar.kept_of_large(table, sizes, room, similar.Fraction(4, 5)).collect()
+        assert {bytes(r.mark): r.kept for r in kept} == expected and len(kept) == len(rows)
+    assert similar.kept_of_large(table.where("false"), sizes, 5, similar.Fraction(4, 5)).count() == 0
