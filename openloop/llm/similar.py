@@ -1,17 +1,24 @@
 """Near copies by exact Jaccard similarity, found by SimHash deletion variants.
 
-A fingerprint of four words of 64 bits is cut into sixteen segments of sixteen bits. Two
+A fingerprint of four words of 64 bits is cut into segments of sixteen bits. Two
 fingerprints meet where a segment is equal or differs in one bit: a segment is indexed as it is and
 with each of its bits masked. The first bits of a segment say which task it goes to, so only these
 are masked before the shuffle, the others within the task. What meets at ``DISTANCE`` or fewer of
 256 bits is a candidate. Candidates only decide which texts are brought together; whether two of
 them are near copies is decided by their shingles.
+
+Segments widen with the number of fingerprints, so that no more of them meet by chance at larger
+sizes. Wider ones agree less often, so the bits are cut again in other orders, until near copies
+are expected to meet as often as ``RECALL`` asks (:func:`cut_for`).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from fractions import Fraction
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +32,13 @@ from openloop.llm.large_groups import kept_of_large
 from openloop.llm.texts import text_bytes
 
 WORDS = ["w0", "w1", "w2", "w3"]
-SEGMENTS, SEGMENT = 16, 16
+BITS, SEGMENT = 256, 16
 #: Differing bits of candidates: at Jaccard 0.8 about 39 of 256 are expected, 6 the deviation.
 DISTANCE = 60
+#: Fingerprints expected in one bucket of equal segments; beyond that segments are wider.
+BUCKET = 1 << 12
+#: Share of the pairs at Jaccard 0.8 that are expected to meet.
+RECALL = 0.99
 #: Fingerprints that should meet in one task; more of them are dealt out by more bits.
 TOGETHER = 1 << 18
 #: Runs of equal masked segments up to here are compared pair by pair, longer ones by search.
@@ -81,8 +92,70 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
-def _segment(words: np.ndarray, number: int) -> np.ndarray:
-    return (words[:, number // 4] >> np.uint64(number % 4 * SEGMENT)).astype(np.int64) & 0xFFFF
+@cache
+def _order(turn: int) -> np.ndarray:
+    """The order in which the bits are cut for the ``turn``-th time; as they stand at first."""
+    return np.random.default_rng(turn).permutation(BITS) if turn else np.arange(BITS)
+
+
+@dataclass(frozen=True)
+class Cut:
+    """How fingerprints are cut: ``segments`` of ``width`` bits, as many of them in each order of
+    the bits as it has room for."""
+
+    width: int = SEGMENT
+    segments: int = BITS // SEGMENT
+
+    def bits(self, number: int) -> np.ndarray:
+        """The bits of a segment, its lowest first."""
+        turn, place = divmod(number, BITS // self.width)
+        return _order(turn)[place * self.width : (place + 1) * self.width]
+
+
+@cache
+def _missing(width: int, segments: int) -> list[int]:
+    """In how many ways 0, 1, .. differing bits can leave each of ``segments`` segments of one order
+    of the bits with two of them or more."""
+    two_or_more = [math.comb(width, k) if k > 1 else 0 for k in range(DISTANCE + 1)]
+    ways = np.array([math.comb(BITS - segments * width, k) for k in range(DISTANCE + 1)], dtype=object)
+    for _ in range(segments):
+        ways = np.convolve(ways, np.array(two_or_more, dtype=object))[: DISTANCE + 1]
+    return ways.tolist()
+
+
+def expected_recall(cut: Cut, similarity: float = 0.8) -> float:
+    """The share of pairs of this similarity that agree in a segment of ``cut`` but for one bit and
+    differ in at most ``DISTANCE`` bits. A bit differs with a chance of angle / pi of the sets."""
+    differs = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    turns, rest = divmod(cut.segments, BITS // cut.width)
+    each, last = _missing(cut.width, BITS // cut.width), _missing(cut.width, rest)
+    share = 0.0
+    for d in range(DISTANCE + 1):
+        ways = math.comb(BITS, d)
+        missed = (each[d] / ways) ** turns * (last[d] / ways)
+        share += ways * differs**d * (1 - differs) ** (BITS - d) * (1 - missed)
+    return share
+
+
+def cut_for(fingerprints: int, bucket: int = BUCKET) -> Cut:
+    """The cut whose buckets are expected to hold at most ``bucket`` of so many fingerprints. The
+    shares of :func:`expected_recall` say how many segments it needs."""
+    width = max(SEGMENT, (max(0, fingerprints - 1) // bucket).bit_length())
+    segments = BITS // SEGMENT
+    while expected_recall(Cut(width, segments)) < RECALL:
+        segments += 1
+    return Cut(width, segments)
+
+
+def _segment(words: np.ndarray, number: int, cut: Cut = Cut()) -> np.ndarray:
+    bits = cut.bits(number).tolist()
+    low, high = bits[0], bits[-1]
+    if bits == list(range(low, high + 1)) and low // 64 == high // 64:
+        return (words[:, low // 64] >> np.uint64(low % 64)).astype(np.int64) & ((1 << cut.width) - 1)
+    value = np.zeros(len(words), np.uint64)
+    for place, bit in enumerate(bits):
+        value |= ((words[:, bit // 64] >> np.uint64(bit % 64)) & np.uint64(1)) << np.uint64(place)
+    return value.astype(np.int64)
 
 
 def _fingerprints(docs: DataFrame, id_column: str, text_column: str, width: int) -> DataFrame:
@@ -102,18 +175,18 @@ def _fingerprints(docs: DataFrame, id_column: str, text_column: str, width: int)
     return rows.mapInArrow(run, f"id {kind}, tie long, node long, w0 long, w1 long, w2 long, w3 long")
 
 
-def _dealt(first: int):
+def _dealt(first: int, cut: Cut):
     """A row for each segment and each of its ``first`` bits masked, or none. The key holds the
     segment, one more than the masked bit, and the first bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = _matrix(batch)
-            for number in range(SEGMENTS):
-                top = _segment(words, number) >> (SEGMENT - first)
+            for number in range(cut.segments):
+                top = _segment(words, number, cut) >> (cut.width - first)
                 for bit in range(-1, first):
                     rest = top & ~(1 << bit) if bit >= 0 else top
-                    key = pa.array(((number * (SEGMENT + 1) + bit + 1) << SEGMENT) | rest)
+                    key = pa.array(((number * (cut.width + 1) + bit + 1) << cut.width) | rest)
                     columns = [key, *(batch.column(w) for w in WORDS)]
                     yield pa.RecordBatch.from_arrays(columns, names=["key", *WORDS])
 
@@ -138,11 +211,11 @@ def _search(words: np.ndarray, members: np.ndarray) -> Iterator[tuple[int, int]]
             waiting = waiting[~near]
 
 
-def _met(words: np.ndarray, key: int, first: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _met(words: np.ndarray, key: int, first: int, cut: Cut = Cut()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links between the fingerprints of one key, as arrays of places."""
-    number, bit = divmod(key >> SEGMENT, SEGMENT + 1)
-    value = _segment(words, number)
-    low = SEGMENT - first
+    number, bit = divmod(key >> cut.width, cut.width + 1)
+    value = _segment(words, number, cut)
+    low = cut.width - first
     if bit:
         masks = [1 << (low + bit - 1)]
     else:
@@ -218,14 +291,16 @@ class Forest:
 def _links(fps: DataFrame, together: int) -> DataFrame:
     """(a, b) links of nodes that connect all candidates among ``fps``. A task gives out only what
     joins two sets of nodes, over all the keys it has, so at most as many links as nodes."""
-    first = min(SEGMENT, max(2, (fps.count() // together).bit_length()))
+    different = fps.count()
+    cut = cut_for(different)
+    first = min(cut.width, max(2, (different // together).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
         for key, pieces in _by_key(batches, "key"):
             words = np.concatenate([_matrix(p) for p in pieces])
             nodes = _nodes(words)
-            found = [np.stack([nodes[a], nodes[b]], axis=1) for a, b in _met(words, int(key), first) if len(a)]
+            found = [np.stack([nodes[a], nodes[b]], axis=1) for a, b in _met(words, int(key), first, cut) if len(a)]
             if found:
                 pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
                 joining = np.array(forest.joining(pairs.tolist()), dtype=np.int64).reshape(-1, 2)
@@ -233,7 +308,7 @@ def _links(fps: DataFrame, together: int) -> DataFrame:
                     columns = [pa.array(np.ascontiguousarray(joining[:, k])) for k in (0, 1)]
                     yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    rows = fps.select(*WORDS).mapInArrow(_dealt(first), "key long, w0 long, w1 long, w2 long, w3 long")
+    rows = fps.select(*WORDS).mapInArrow(_dealt(first, cut), "key long, w0 long, w1 long, w2 long, w3 long")
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 

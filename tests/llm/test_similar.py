@@ -87,6 +87,45 @@ def test_pipeline_stage_against_all_pairs(spark):
     assert sorted(r.doc_id for r in stage(spark, docs, SF_DIR).collect()) == sorted(set(roots.values()))
 
 
+@pytest.mark.parametrize("cut, together", [(similar.Cut(20, 30), 1), (similar.Cut(27, 60), 1), (similar.Cut(16, 19), 40)])
+def test_other_cuts_link_all_candidates(spark, cut, together, monkeypatch):
+    monkeypatch.setattr(similar, "cut_for", lambda fingerprints: cut)
+    texts = families(random.Random(5)).values()
+    prints = np.unique([similar.fingerprint({s.encode() for s in five(t)}) for t in texts], axis=0)
+    bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
+    apart = [bits[:, cut.bits(number)] for number in range(cut.segments)]
+    expected = [
+        (a, b) for a in range(len(prints)) for b in range(a)
+        if (bits[a] != bits[b]).sum() <= similar.DISTANCE and any((x[a] != x[b]).sum() <= 1 for x in apart)
+    ]
+    nodes = similar._nodes(prints).tolist()
+    fps = spark.createDataFrame(prints.view(np.int64).tolist(), "w0 long, w1 long, w2 long, w3 long")
+    found = [(nodes.index(r.a), nodes.index(r.b)) for r in similar._links(fps, together).collect()]
+    assert expected and grouped(found, range(len(prints))) == grouped(expected, range(len(prints)))
+
+
+@pytest.mark.parametrize("count", [0, 1, 2**28, 2**28 + 1, 10**9, 3 * 10**10])
+def test_buckets_do_not_grow_and_recall_does_not_fall(count):
+    cut = similar.cut_for(count)
+    assert count / 2**cut.width <= similar.BUCKET and similar.expected_recall(cut) >= similar.RECALL
+    assert cut.segments * (cut.width + 1) << cut.width < 2**63
+    used = np.concatenate([cut.bits(number) for number in range(256 // cut.width)])
+    assert len(set(used.tolist())) == len(used)
+
+
+@pytest.mark.parametrize("cut", [similar.Cut(), similar.Cut(16, 8), similar.Cut(20, 12), similar.cut_for(10**9)])
+def test_pairs_meet_as_often_as_expected(cut):
+    """1,500 pairs of sets at Jaccard 0.8: 180 shared, 22 or 23 of each side's own."""
+    rng, met = random.Random(3), 0
+    for _ in range(1500):
+        both = [rng.randbytes(8) for _ in range(180)]
+        pair = [similar.fingerprint({*both, *(rng.randbytes(8) for _ in range(n))}) for n in (22, 23)]
+        x, y = (np.unpackbits(p.view(np.uint8), bitorder="little") for p in pair)
+        differ = x != y
+        met += differ.sum() <= similar.DISTANCE and any(differ[cut.bits(k)].sum() <= 1 for k in range(cut.segments))
+    assert abs(met / 1500 - similar.expected_recall(cut)) < 0.03
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame([*ROWS, (15, "one two three four five six", "x", 1), (14, "One two three four five seven", "x", 1)], SCHEMA)
     kept = similar.keep_one_of_similar(docs)
