@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from openloop.llm.texts import held_out, text_bytes
@@ -22,6 +22,8 @@ CHUNK, STEP, WIDTH, FILTERS = 32, 16, 4, 24
 BLOCK = 1 << 15
 #: At most so many learning documents of each class, those with the smallest hash of their id.
 SAMPLE = 1000
+#: At most so many bytes of learning texts of each class come to the driver.
+SAMPLE_BYTES = 256 << 20
 STEPS, BATCH, RATE = 1200, 24, 0.01
 #: Short pieces of good documents are learned as good as well, this many bytes long.
 PIECE = (4, 160)
@@ -112,12 +114,15 @@ def train(texts: list[bytes], labels: list[int], prior: float, seed: int = 0) ->
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Net | float:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE,
+        sample_bytes: int = SAMPLE_BYTES) -> Net | float:
     """Learns from labelled documents outside the held-out fold (crc32 of the id modulo 4 is 2).
 
-    The sample is bounded: ``sample`` documents of each class at most; class shares are counted
-    over all learning rows. Without rows of both classes the smoothed share of label 1 is the
-    answer for every document.
+    The sample is bounded: ``sample`` documents of each class at most, in the order of the hash of
+    their ids, as far as their texts have ``sample_bytes`` together; a text of more than a quarter
+    of that is not learned from. Class shares are counted over all learning rows. Rows that repeat
+    id and text are learned from once. Without texts of both classes the smoothed share of label 1
+    is the answer for every document.
     """
     rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", 4, 2))
     rows = rows.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
@@ -128,9 +133,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
         return prior
     picked = [rows.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(sample) for c in (0, 1)]
     texts = docs.select(F.col("doc_id").alias("id"), text_bytes(F.col("text")).alias("text"))
-    found = texts.join(F.broadcast(picked[0].union(picked[1])), "id").select("id", "label", "text").collect()
-    found.sort(key=lambda r: (r["id"], r["label"], r["text"]))
-    return train([bytes(r["text"]) for r in found], [r["label"] for r in found], prior)
+    found = texts.join(F.broadcast(picked[0].union(picked[1])), "id").where(F.octet_length("text") <= sample_bytes // 4)
+    in_turn = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", "text")
+    held = F.sum(F.octet_length("text")).over(in_turn.rowsBetween(Window.unboundedPreceding, 0))
+    found = found.distinct().withColumn("held", held).where(F.col("held") <= sample_bytes)
+    learned = sorted((r["id"], r["label"], bytes(r["text"])) for r in found.select("id", "label", "text").collect())
+    if len({c for _, c, _ in learned}) < 2:
+        return prior
+    return train([t for _, _, t in learned], [c for _, c, _ in learned], prior)
 
 
 def score(net: Net | float, text: Column) -> Column:

@@ -43,6 +43,24 @@ def test_quality_query_against_plain_loops(spark):
             assert r.score == pytest.approx(plain_probability(net, texts[ident]), abs=1e-4)
 
 
+def test_learning_sample_is_bounded_in_bytes(spark, monkeypatch):
+    rows = [(n, "good " * 20 if n % 2 else "bad! " * 20, n % 2) for n in range(60) if crc(n, 4) != 2]
+    rows += [(n, "long " * 500, n % 2) for n in range(60, 80) if crc(n, 4) != 2]
+    rows += rows[:5]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows[:-5]], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_net, "train", lambda texts, labels, prior: seen.append(list(zip(texts, labels))))
+    quality_net.fit(docs, labels, sample_bytes=1000)  # ten texts of 100 bytes a class, no long one
+    quality_net.fit(docs, labels)
+    for c in (0, 1):
+        assert sorted(len(t) for t, label in seen[0] if label == c) == [100] * 10
+        assert len([1 for _, label in seen[1] if label == c]) == len({r[0] for r in rows if r[2] == c})
+    share = (sum(r[2] for r in rows[:-5]) + 1) / (len(rows) - 5 + 2)
+    counted = quality_net.fit(docs, labels, sample_bytes=0)
+    assert counted == pytest.approx(share) and len(seen) == 2
+
+
 def test_language_query_against_plain_trees(spark):
     order = langid.ORDER
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
