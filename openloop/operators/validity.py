@@ -101,13 +101,24 @@ def _levels_of(cells: DataFrame) -> list[int]:
     return [row.dyadic_level for row in cells.select("dyadic_level").distinct().collect()]
 
 
-def _policy_cells(policy: DataFrame, columns: list[str]) -> DataFrame:
-    windows = policy.select(
+WINDOW = ["window_from", "window_to"]
+
+
+def _policy_windows(policy: DataFrame, columns: list[str]) -> DataFrame:
+    return policy.select(
         *columns,
-        epoch_micros(policy, "effective_from").alias("_from"),
-        epoch_micros(policy, "effective_to").alias("_to"),
+        epoch_micros(policy, "effective_from").alias("window_from"),
+        epoch_micros(policy, "effective_to").alias("window_to"),
     )
-    return window_cells(windows, F.col("_from"), F.col("_to")).drop("_from", "_to")
+
+
+def _cells_of(windows: DataFrame) -> DataFrame:
+    return window_cells(windows, *(F.col(c) for c in WINDOW)).drop(*WINDOW)
+
+
+# Versions of one key that an instant is compared with one by one. Windows of whole days have
+# cells at more levels than that, and each level costs an instant a row of its own.
+FEW_VERSIONS = 32
 
 
 def policies_at(
@@ -116,18 +127,65 @@ def policies_at(
     """``instants`` joined to the policies in force at their ``us``: one row for each pair, found
     by equality of dyadic cells. ``keys`` names columns that must be equal as well ({column of
     instants: column of policy}); with a policy's own key each instant meets its versions only.
+
+    An instant has a row at every level in use, so where the keys alone leave at most
+    FEW_VERSIONS versions, they are joined and their windows compared, and an instant stays one
+    row. Only the instants of keys with more versions are listed by cell.
     """
     keys = keys or {}
-    cells = staged(_policy_cells(policy, policy.columns))
-    wanted = instant_cells(instants, F.col(us), _levels_of(cells))
-    given = [c for c in instants.columns if c not in keys.values()]
-    named = cells.select(
-        *(F.col(c).alias(f"_{c}") if c in given else F.col(c) for c in cells.columns)
+    windows = _policy_windows(policy, policy.columns)
+    if not keys:
+        return _met_in_cells(instants, us, policy, windows, keys)
+    own = list(keys.values())
+    some = F.col("window_to").isNull() | (F.col("window_from") < F.col("window_to"))
+    windows = staged(windows.filter(F.col("window_from").isNotNull() & some).dropna(subset=own))
+    many = staged(
+        windows.groupBy(*own).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FEW_VERSIONS).select(*own)
     )
-    on = [wanted[c] == named[c if c not in given else f"_{c}"] for c in CELL]
-    on += [wanted[a] == named[f"_{b}" if b in given else b] for a, b in keys.items()]
+    if many.isEmpty():
+        return _met_by_key(instants, us, policy, windows, keys)
+    few = windows.join(hinted(many), own, "left_anti").select(*windows.columns)
+    rest = windows.join(hinted(many), own, "left_semi").select(*windows.columns)
+    popular = many.toDF(*(f"many_{n}" for n in range(len(own))))
+    on = [instants[a] == popular[f"many_{n}"] for n, a in enumerate(keys)]
+    listed = instants.join(hinted(popular), on, "left_semi")
+    found = _met_by_key(instants, us, policy, few, keys)
+    return found.union(_met_in_cells(listed, us, policy, rest, keys))
+
+
+def _beside(instants: DataFrame, found: DataFrame, keys: dict[str, str]) -> tuple[DataFrame, dict[str, str]]:
+    """``found`` with a leading ``_`` before the names that ``instants`` has as well, and its new
+    name of each column."""
+    given = [c for c in instants.columns if c not in keys.values()]
+    names = {c: f"_{c}" if c in given else c for c in found.columns}
+    return found.select(*(F.col(c).alias(n) for c, n in names.items())), names
+
+
+def _taken_over(instants: DataFrame, policy: DataFrame, keys: dict[str, str]) -> list[str]:
+    return [c for c in policy.columns if c not in instants.columns and c not in keys.values()]
+
+
+def _met_by_key(
+    instants: DataFrame, us: str, policy: DataFrame, windows: DataFrame, keys: dict[str, str]
+) -> DataFrame:
+    named, name = _beside(instants, windows, keys)
+    on = [instants[a] == named[name[b]] for a, b in keys.items()]
+    on.append(in_force(instants[us], *(named[name[c]] for c in WINDOW)))
+    met = instants.join(hinted(named), on)
+    kept = [named[c] for c in _taken_over(instants, policy, keys)]
+    return met.select(*(instants[c] for c in instants.columns), *kept)
+
+
+def _met_in_cells(
+    instants: DataFrame, us: str, policy: DataFrame, windows: DataFrame, keys: dict[str, str]
+) -> DataFrame:
+    cells = staged(_cells_of(windows))
+    wanted = instant_cells(instants, F.col(us), _levels_of(cells))
+    named, name = _beside(wanted, cells, keys)
+    on = [wanted[c] == named[name[c]] for c in CELL]
+    on += [wanted[a] == named[name[b]] for a, b in keys.items()]
     met = wanted.join(hinted(named), on)
-    kept = [named[c] for c in policy.columns if c not in given and c not in keys.values()]
+    kept = [named[c] for c in _taken_over(instants, policy, keys)]
     return met.select(*(wanted[c] for c in instants.columns), *kept)
 
 
@@ -135,7 +193,7 @@ def number_in_force(instants: DataFrame, us: str, policy: DataFrame) -> DataFram
     """``instants`` with ``in_force``, the number of policies in force at their ``us``; 0 for a
     NULL instant. Windows fold to one count per cell and instants to their distinct values
     before they meet, so neither a popular cell nor a hot instant is listed row by row."""
-    cells = _policy_cells(policy, []).groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"))
+    cells = _cells_of(_policy_windows(policy, [])).groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"))
     cells = staged(cells)
     moments = staged(instants.select(F.col(us).alias("_us")).filter("_us IS NOT NULL").distinct())
     met = instant_cells(moments, F.col("_us"), _levels_of(cells)).join(

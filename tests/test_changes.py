@@ -140,6 +140,29 @@ def test_policies_at_instants(spark):
     assert sorted((r.id, r.policy_id) for r in own.collect()) == sorted(p for p in holds if p[1] == p[0] % 30)
 
 
+def test_own_policies_are_met_by_key(spark):
+    """Instants are not listed by cell where a key has few versions; keys with many are."""
+    rng = random.Random(21)
+    versions = [(k % 3, k, at(rng.randrange(100)), rng.choice([None, at(rng.randrange(100)), at(50)])) for k in range(9)]
+    versions += [(5, 100 + k, at(rng.randrange(100)), rng.choice([None, at(rng.randrange(100))])) for k in range(2 * validity.FEW_VERSIONS)]
+    versions += [(None, 7, at(0), None), (1, 8, None, None), (0, 9, at(3), at(3)), (0, 10, at(2), None), (0, 10, at(2), None)]
+    schema = "policy_id int, version int, effective_from timestamp, effective_to timestamp"
+    moments = [(k, rng.choice([0, 1, 2, 3, 5, None]), at(rng.randrange(110), 0, rng.choice([0, 1])), 0) for k in range(200)]
+    moments += [(200, 5, None, 0), (201, 0, at(3), 0), (201, 0, at(3), 0)]
+    instants = spark.createDataFrame(moments, "id int, own int, when timestamp, version int")
+    instants = instants.withColumn("us", epoch_micros(instants, "when"))
+    for listed, plain in ((versions, False), ([v for v in versions if v[0] != 5], True)):
+        policy = spark.createDataFrame(listed, schema).withColumnRenamed("version", "number")
+        found = validity.policies_at(instants, "us", policy, {"own": "policy_id"})
+        assert ("Generate" not in found._jdf.queryExecution().optimizedPlan().toString()) == plain
+        assert found.columns == [*instants.columns, "number", "effective_from", "effective_to"]
+        expected = sorted(
+            (i, n) for i, own, t, _ in moments for key, n, a, b in listed
+            if own is not None and own == key and t is not None and a is not None and a <= t and (b is None or t < b)
+        )
+        assert sorted((r.id, r.number) for r in found.collect()) == expected and len(expected) > 100
+
+
 # Runs ----------------------------------------------------------------------------------------
 
 
