@@ -1,7 +1,10 @@
 """Live forms over findings that arrive in several batches."""
 
 import datetime as dt
+import random
+from types import SimpleNamespace
 
+import pandas as pd
 from audit import START, at, star
 from openloop.functions.clock import DAY_US, epoch_micros
 from openloop.plans.reports import daily_counts, open_findings
@@ -80,6 +83,102 @@ def test_a_flag_waits_for_its_own_deadline_only(spark, tmp_path):
         assert sorted((r.document_ref_id for r in found.collect()), key=str) == sorted(expected, key=str), k
 
 
+def test_keys_of_one_group_do_not_meet(spark, tmp_path):
+    """Many keys in one state, over several batches."""
+    model = star(spark, findings())
+    stream = arrive(spark, model, str(tmp_path), batches=4)
+    opens, closes = F.col("action_taken") == "flagged", F.col("action_taken").isin("redacted", "escalated")
+    rows = []
+    for groups in (1, 3, 1 << 14):
+        place = tmp_path / f"g{groups}"
+        flags = deadlines.never_closed_live(stream, KEYS, opens, closes, spread=2, groups=groups)
+        found = live.run_to_end(flags, str(place / "rows"), str(place / "p"), 3, deadlines.STATE_STORE)
+        rows.append(sorted(found.select(VIOLATION.names).collect()))
+    assert len(rows[0]) > 10 and rows[0] == rows[1] == rows[2]
+
+
+class CountedState(dict):
+    """A state in place of Spark's that counts the calls."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def keys(self):
+        self.calls += 1
+        return list(super().keys())
+
+    def getValue(self, key):
+        self.calls += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self[key]
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+
+def process(processor, state, rows, watermark):
+    """What a batch emits at a watermark in microseconds, and how often it called the state."""
+    state.calls, values = 0, SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark // 1000)
+    frames = [pd.DataFrame(rows[k : k + 70], columns=["key", "us", "opens", "row"]) for k in range(0, len(rows), 70)]
+    found = [*processor.handleInputRows((0,), iter(frames), values)] if rows else []
+    for ms in sorted(t for t in state.timers if t <= watermark // 1000):
+        found += processor.handleExpiredTimer((0,), values, None)
+        state.timers.discard(ms)
+    return sorted(row for frame in found for row in frame["row"]), state.calls
+
+
+def test_a_batch_calls_the_state_by_chunks():
+    state, processor = CountedState(), deadlines.Deadlines(1000)
+    processor.init(state)
+    rows = [("a", us, False, "") for us in range(0, 9000, 3)] + [("a", us, True, str(us)) for us in range(9000, 12000)]
+    assert process(processor, state, rows, 0) == ([], state.calls)
+    assert state.calls <= 1 + 2 * 3 + 1  # a list, chunks, a timer; 4,001 calls and more before
+    assert len(state) == 6 and len(state.timers) == 1
+    found, calls = process(processor, state, [], 11_000_000)
+    assert found == sorted(map(str, range(9000, 12000))) and calls < 20 and not state
+
+
+def test_groups_emit_each_flag_at_its_deadline():
+    """Late events, equal instants and several keys against a loop over all pairs."""
+    rng, width, late = random.Random(4), 40_000, 9_000
+    for size in (3, deadlines.CHUNK):
+        deadlines.CHUNK, before = size, deadlines.CHUNK
+        state, processor = CountedState(), deadlines.Deadlines(width)
+        processor.init(state)
+        flags, closers, out, newest = [], set(), [], 0
+        try:
+            for batch in range(40):
+                watermark = max(newest - late, 0) // 1000 * 1000
+                rows = []
+                for _ in range(rng.choice([0, 4, 30])):
+                    us = rng.randrange(max(batch * 6_000 - 4_000, watermark), batch * 6_000 + 6_000)
+                    rows += [(rng.choice("abc"), us, rng.random() < 0.97, str(len(flags) + len(rows)))] * rng.choice([1, 1, 2])
+                closers |= {r[:2] for r in rows if not r[2]}
+                flags += [r for r in rows if r[2]]
+                newest = max([newest, *(r[1] for r in rows)])
+                out += process(processor, state, rows, watermark)[0]
+                due = [f for f in flags if f[1] + width < watermark]
+                assert sorted(out) == sorted(
+                    f[3] for f in due if not any(f[0] == k and f[1] <= us <= f[1] + width for k, us in closers)
+                )
+            assert 30 < len(out) < len(due) and state.timers
+            process(processor, state, [], 10**9)
+            assert not state and not state.timers
+        finally:
+            deadlines.CHUNK = before
+
+
 def test_live_days_equal_the_batch_counts(spark, tmp_path):
     model = star(spark, findings())
     stream = arrive(spark, model, str(tmp_path))
