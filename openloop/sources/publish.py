@@ -116,6 +116,16 @@ def current_model(spark: SparkSession, root: str) -> AuditModel:
     return AuditModel.from_parquet(spark, f"{root}/versions/{folder}")
 
 
+# Narrow findings of a bucket on average; one task sorts and folds them in some 100 MB.
+BUCKET_ROWS = 1_000_000
+
+
+def buckets_for(violation: DataFrame, least: int) -> int:
+    """A number of buckets that grows with the findings, so that a bucket, which one task reads
+    whole, does not; ``least`` for small tables. Counting a Parquet table reads file footers only."""
+    return max(least, -(-violation.count() // BUCKET_ROWS))
+
+
 def save_by_document(violation: DataFrame, name: str, buckets: int, slice_days: int = 30) -> None:
     """Catalog table bucketed and sorted by (document, time slice), so that work per document and
     slice needs no shuffle of the findings and a document with very many of them is spread over

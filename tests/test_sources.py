@@ -238,6 +238,35 @@ def test_a_hot_document_is_spread_over_its_slices(spark):
     spark.sql("DROP TABLE hot_findings")
 
 
+def test_buckets_grow_with_the_findings(spark, tmp_path, monkeypatch):
+    """A task reads a bucket whole, so the rows of a bucket stay the same."""
+    from openloop.bindings import star as given
+    from openloop.bindings.queries import QUERIES
+
+    lines = spark.range(3000).select(
+        (F.col("id") % 700).alias("l_orderkey"), F.col("id").alias("l_partkey"), (F.col("id") % 7).alias("l_suppkey"),
+        F.lit("R").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), F.lit(1).alias("l_linenumber"),
+        F.timestamp_seconds((F.col("id") * 7919 % 2900) * 86_400).cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    sizes, save = [], publish.save_by_document
+
+    def saved(violation, name, buckets, *rest):
+        save(violation, name, buckets, *rest)
+        files = spark.table(name).groupBy(F.input_file_name()).count()
+        sizes.append((buckets, files.agg(F.max("count")).first()[0]))
+
+    monkeypatch.setattr(publish, "save_by_document", saved)
+    monkeypatch.setattr(publish, "BUCKET_ROWS", 60)
+    found = QUERIES["s10_gaps_of_layout"](spark, str(tmp_path)).collect()
+    assert sizes[0][0] == 50 and sizes[0][1] <= 150  # eight buckets of 375 rows and more before
+    facts = given.line_findings(spark, str(tmp_path))
+    gaps = gaps_of_small(facts.select("document_ref_id", epoch_micros(facts, "detected_at").alias("us")), "document_ref_id", "us")
+    expected = gaps.groupBy("document_ref_id").agg(F.sum("n"), F.sum("gap"), F.max("gap")).collect()
+    assert sorted(found) == sorted(expected) and len(found) == 7
+    assert publish.buckets_for(facts, 8) == 50 and publish.buckets_for(facts.limit(0), 8) == 8
+
+
 def test_segments_may_be_cut_anywhere(spark):
     times = [0, 0, 0, 5, 5, 9, 30, 30, 31, 100]
     expected = sorted(b - a for a, b in zip(times, times[1:]))
